@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, mix_sources
+from . import chat_format, exact_dedup, mix_sources, secret_scan, token_counts, token_store
 from .common import documents
 
 #: In the contract: a conversation whose texts hold control strings.
@@ -64,8 +64,31 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir))
+
+
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.read_shards(token_store.write_shards(documents(spark, sf_dir)))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(documents(spark, sf_dir))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.KINDS[:3]))
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_chat_format": op1_chat_format, "op4_exact_dedup": op4_exact_dedup, "op7_mix_sources": op7_mix_sources}
+    return {
+        "op1_chat_format": op1_chat_format,
+        "op3_token_counts": op3_token_counts,
+        "op4_exact_dedup": op4_exact_dedup,
+        "op5_token_store": op5_token_store,
+        "op7_mix_sources": op7_mix_sources,
+        "op9_secret_scan": op9_secret_scan,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
