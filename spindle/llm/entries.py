@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, mix_sources, secret_scan, token_counts, token_store
+from . import chat_format, exact_dedup, mix_sources, near_dedup, secret_scan, token_counts, token_store
 from .common import documents
 
 #: In the contract: a conversation whose texts hold control strings.
@@ -80,6 +80,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(documents(spark, sf_dir), words=3, percent=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -88,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_store": op5_token_store,
         "op7_mix_sources": op7_mix_sources,
         "op9_secret_scan": op9_secret_scan,
+        "op10_near_dedup": op10_near_dedup,
     }
 
 
