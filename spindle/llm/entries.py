@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, mix_sources, near_dedup, secret_scan, token_counts, token_store
+from . import chat_format, exact_dedup, mix_sources, near_dedup, secret_scan, substring_dedup, token_counts, token_store
 from .common import documents
 
 #: In the contract: a conversation whose texts hold control strings.
@@ -72,6 +72,10 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_shards(token_store.write_shards(documents(spark, sf_dir)))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.strip_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(documents(spark, sf_dir))
     of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -91,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_exact_dedup": op4_exact_dedup,
         "op5_token_store": op5_token_store,
         "op7_mix_sources": op7_mix_sources,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_secret_scan": op9_secret_scan,
         "op10_near_dedup": op10_near_dedup,
     }
