@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -14,6 +15,17 @@ REMEMBERED, LONGEST = 1_000_000, 64
 _OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 
 
+# Letters, and a mark that ends them: one pre-token or two, whatever the Unicode version.
+_LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,]?)")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, others from U+0100."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in set(own)]
+    return {b: b for b in own} | {b: 256 + k for k, b in enumerate(other)}
+
+
 def _unsafe(text: str) -> bool:
     """Whether there is white space that isn't a single space or line end between two other characters."""
     if not text:
@@ -38,6 +50,8 @@ class Encoder:
         self.added = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.newline = self._ids("\n")
         self.newline_id = int.from_bytes(self.newline, "little")
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.marks = {"": b"", ".": self._ids("."), ",": self._ids(",")}
         self.begins: dict[str, bytes] = {}
         self.follows: dict[str, bytes] = {}
 
@@ -45,14 +59,30 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, known: dict[str, bytes], lead: str, pieces: set[str]) -> dict[str, bytes]:
-        """A dictionary with all of ``pieces``: ``known``, as long as there is room. They go through the library in one text, a line each."""
+        """A dictionary with all of ``pieces``: ``known``, as long as there is room.
+
+        Words of letters go through the library's model, as its pre-tokenizer would hand them on; the rest through the
+        tokenizer in one text, a line each.
+        """
         new = list(pieces - known.keys())
         if not new:
             return known
-        ids = np.array(self.tokenizer.encode("\n".join([lead + p for p in new]), add_special_tokens=False).ids, dtype="<u4")
-        ends = np.flatnonzero(ids == self.newline_id).tolist()
-        raw = ids.tobytes()
-        fresh = {p: raw[4 * i : 4 * j] for p, i, j in zip(new, [0, *[e + 1 for e in ends]], [*ends, len(ids)], strict=True)}
+        fresh, hard, tokenize, start = {}, [], self.model.tokenize, lead.translate(self.letters)
+        for p in new:
+            if not (m := _LETTERS.fullmatch(p)):
+                hard.append(p)
+                continue
+            word, mark = m.groups()
+            ids = known.get(word) if mark else None
+            if ids is None:
+                seen = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                ids = array("I", [t.id for t in tokenize(start + seen)]).tobytes()
+            fresh[p] = ids + self.marks[mark]
+        if hard:
+            ids = np.array(self.tokenizer.encode("\n".join([lead + p for p in hard]), add_special_tokens=False).ids, dtype="<u4")
+            ends = np.flatnonzero(ids == self.newline_id).tolist()
+            raw = ids.tobytes()
+            fresh |= {p: raw[4 * i : 4 * j] for p, i, j in zip(hard, [0, *[e + 1 for e in ends]], [*ends, len(ids)], strict=True)}
         if len(known) + len(new) <= REMEMBERED and max(map(len, new)) <= LONGEST:
             known.update(fresh)
             return known

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, mix_sources, near_dedup, secret_scan, substring_dedup, token_counts, token_store
+from . import chat_format, decontaminate, exact_dedup, mix_sources, near_dedup, quality, secret_scan, substring_dedup, token_counts, token_store
 from .common import documents
 
 #: In the contract: a conversation whose texts hold control strings.
@@ -60,10 +60,19 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.score(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir))
 
@@ -91,9 +100,11 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
+        "op2_quality": op2_quality,
         "op3_token_counts": op3_token_counts,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_token_store": op5_token_store,
+        "op6_decontaminate": op6_decontaminate,
         "op7_mix_sources": op7_mix_sources,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_secret_scan": op9_secret_scan,

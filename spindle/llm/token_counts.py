@@ -10,16 +10,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import small_batches, text_or_empty, written
 from .encode import encoder, tokenizer_path
-from .token_store import in_id_order
 
 #: Ids in a block; blocks end anywhere, also within a document.
 BLOCK_IDS = 1 << 20
 
 
 def write_flat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", end_id: int = 50256, tokenizer: str = "", block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Flat files of little-endian uint32 ids, each document ended by ``end_id``, as rows ``part, block, data, doc_ids``.
+    """Flat files of little-endian uint16 ids, each document ended by ``end_id``, as rows ``part, block, data, doc_ids``.
+
+    A file holds the documents of one input partition as they come; nothing is shuffled.
 
     Special tokens' strings in a text are ordinary text, so ``end_id`` is a separator and nothing else. ``data`` is cut
     every ``block_ids`` ids, whatever lies there. ``doc_ids`` lists which documents follow each other in the part; it
@@ -27,7 +28,7 @@ def write_flat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     small_batches(docs.sparkSession)
     path = tokenizer or tokenizer_path()
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u2").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, data, names = TaskContext.get().partitionId(), 0, bytearray(), []
@@ -35,19 +36,20 @@ def write_flat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             names += batch.column(0).to_pylist()
             for ids in encoder(path, True).batch(batch.column(1).to_pylist()):
-                data += ids
+                data += np.frombuffer(ids, "<u4").astype("<u2").tobytes()
                 data += end
-            while len(data) >= 4 * block_ids:
-                yield row(data[: 4 * block_ids])
-                del data[: 4 * block_ids]
+            while len(data) >= 2 * block_ids:
+                yield row(data[: 2 * block_ids])
+                del data[: 2 * block_ids]
                 block, names = block + 1, []
         if data or names:
             yield row(data)
 
-    return written(in_id_order(docs, id_col, text_col).mapInArrow(encode, "part int, block int, data binary, doc_ids array<long>"), "flat")
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    return written(d.mapInArrow(encode, "part int, block int, data binary, doc_ids array<long>"), "flat")
 
 
-def separator_scan(blocks: DataFrame, end_id: int = 50256, dtype: str = "<u4") -> DataFrame:
+def separator_scan(blocks: DataFrame, end_id: int = 50256, dtype: str = "<u2") -> DataFrame:
     """Documents of flat token files: ``part, ordinal, start, n_tokens, closed``.
 
     ``blocks`` has ``part, block, data``: the bytes of file ``part``, cut at any id. Each block is searched on its own, as
@@ -85,16 +87,14 @@ def separator_scan(blocks: DataFrame, end_id: int = 50256, dtype: str = "<u4") -
 
 
 def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", end_id: int = 50256, tokenizer: str = "", block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Writes ``docs`` as flat files and counts them by :func:`separator_scan`: ``doc_id, start, n_tokens``.
+    """Writes ``docs`` as flat files and counts them by :func:`separator_scan`: ``doc_id, n_tokens``, without separators.
 
-    Files stand in ascending id order and ``start`` counts the ids of all files before. Rows that repeat are documents of
-    their own; an empty table gives no rows; extra columns are not read.
+    Rows that repeat are documents of their own; an empty table gives no rows; extra columns are not read. The files name
+    no documents: those of a file are listed beside it in order, and the scan's ordinals find them there.
     """
     blocks = write_flat(docs, id_col, text_col, end_id, tokenizer, block_ids)
     found = separator_scan(blocks, end_id)
     before = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     names = blocks.select("part", "doc_ids", F.coalesce(F.sum(F.size("doc_ids")).over(before), F.lit(0)).cast("long").alias("first"))
     names = names.select("part", "first", F.posexplode("doc_ids").alias("k", "doc_id")).select("part", (F.col("first") + F.col("k")).alias("ordinal"), "doc_id")
-    sizes = blocks.groupBy("part").agg(F.sum(F.length("data") / 4).cast("long").alias("n"))
-    bases = sizes.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("part_base"))
-    return found.join(names, ["part", "ordinal"]).join(bases, "part").select("doc_id", (F.col("part_base") + F.col("start")).alias("start"), "n_tokens")
+    return found.join(names, ["part", "ordinal"]).select("doc_id", "n_tokens")
