@@ -18,8 +18,10 @@ from .hashing import U, mixed, shingle_set
 
 #: Bands and MinHash values in a band: a pair of similarity 0.8 shares no band with probability 2e-6, one of 0.85 1e-8.
 BANDS, ROWS = 32, 5
-#: Samples and bits of an odd sketch, and how far its estimate may lie below the bound: more than five deviations.
-SAMPLES, BITS, MARGIN = 4096, 4096, 0.04
+#: Samples and bits of an odd sketch. A set of at most WHOLE shingles is its own sample.
+SAMPLES, BITS, WHOLE = 4096, 4096, 2048
+#: How far an estimate may lie below the bound, more than five deviations: of samples, and of whole sets.
+MARGIN, WHOLE_MARGIN = 0.04, 0.015
 #: Members of a bucket that are compared in one task at a time.
 BLOCK = 1024
 
@@ -61,10 +63,12 @@ def band_keys(h: np.ndarray) -> np.ndarray:
 
 def odd_sketch(h: np.ndarray) -> tuple[np.ndarray, int]:
     """Parity bitmap of the MinHash samples as int64 words, and the number of samples."""
-    at, full = _minima(h, SAMPLES)
-    bits = (mixed(h[at[full]] + U(0x632BE59BD9B4E019)) % U(BITS)).astype(np.int64)
+    if len(h) > WHOLE:
+        at, full = _minima(h, SAMPLES)
+        h = h[at[full]]
+    bits = (mixed(h + U(0x632BE59BD9B4E019)) % U(BITS)).astype(np.int64)
     odd = np.bincount(bits, minlength=BITS) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64), int(full.sum())
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64), len(h)
 
 
 def estimate(ones: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -73,10 +77,13 @@ def estimate(ones: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a + b - differ) / 2 / np.maximum(a, b)
 
 
-def _estimate(sketch_a: str, sketch_b: str) -> Column:
+def _likely(sketch_a: str, sketch_b: str, percent: int) -> Column:
+    """Whether two sketches leave it open that the bound is met; a sample and a whole set can't be compared."""
     ones = F.aggregate(F.zip_with(sketch_a, sketch_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     differ = F.lit(-BITS / 2) * F.log(F.greatest(1 - 2 * ones / BITS, F.lit(1e-9)))
-    return (F.col("k_a") + F.col("k_b") - differ) / 2 / F.greatest("k_a", "k_b")
+    est = (F.col("k_a") + F.col("k_b") - differ) / 2 / F.greatest("k_a", "k_b")
+    whole_a, whole_b = F.col("n_a") <= WHOLE, F.col("n_b") <= WHOLE
+    return (whole_a != whole_b) | (est >= percent / 100 - F.when(whole_a, WHOLE_MARGIN).otherwise(MARGIN))
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
@@ -126,7 +133,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _block_pairs(rest: DataFrame, least: float, percent: int, forest: bool) -> DataFrame:
+def _block_pairs(rest: DataFrame, percent: int, forest: bool) -> DataFrame:
     """Candidate pairs between components within the buckets of ``rest``: ``key, cid, component, n, bands, sketch, k, size``.
 
     A bucket is dealt in blocks of about BLOCK members and each pair of blocks is a run of rows that one task compares by
@@ -147,7 +154,8 @@ def _block_pairs(rest: DataFrame, least: float, percent: int, forest: bool) -> D
             if not len(j):
                 continue
             est = estimate(np.bitwise_count(sketch[j] ^ sketch[i]).sum(1), k[j], k[i])
-            near = est >= least
+            whole = n[j] <= WHOLE
+            near = (whole != (n[i] <= WHOLE)) | (est >= percent / 100 - np.where(whole, WHOLE_MARGIN, MARGIN))
             j, est = j[near], est[near]
             if len(j):
                 shared = bands[j] == bands[i]
@@ -218,11 +226,10 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     bands = reps.select("cid", F.explode("bands").alias("key"))
     buckets = bands.groupBy("key").agg(F.min("cid").alias("rep"), F.max("cid").alias("far"), F.count(F.lit(1)).alias("size")).filter("rep < far").drop("far")
     members = written(bands.join(buckets, "key"), "members")
-    least = percent / 100 - MARGIN
     side = lambda x: reps.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("k").alias(f"k_{x}"), F.col("sketch").alias(f"s_{x}"))
     stars = members.filter("cid <> rep").select(F.col("cid").alias("a"), F.col("rep").alias("b")).distinct()
     stars = stars.join(side("a"), "a").join(side("b"), "b").filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    stars = written(stars.filter(_estimate("s_a", "s_b") >= least).select("a", "b"), "stars")
+    stars = written(stars.filter(_likely("s_a", "s_b", percent)).select("a", "b"), "stars")
     links = written(confirmed(stars, d, words, percent), "confirmed")
     labels = components(links)
     for forest in (True, False):
@@ -231,7 +238,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
         open_ = written(open_.select("key", "cid", "component", "size"), "open")
         several = open_.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key")
         rest = open_.join(several, "key", "left_semi").join(reps, "cid")
-        more = written(_block_pairs(rest, least, percent, forest), "candidates")
+        more = written(_block_pairs(rest, percent, forest), "candidates")
         if more.isEmpty():
             break
         new = written(confirmed(more, d, words, percent), "confirmed")

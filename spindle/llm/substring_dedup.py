@@ -14,9 +14,9 @@ from .common import small_batches, text_or_empty, written
 from .hashing import U, prefix_sums, ranges
 
 #: Bytes of text that one task sorts at a time, but for a larger single group.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 #: Contexts of one anchor that are sorted in one task; more are settled by counting window digests.
-GROUP = 16384
+GROUP = 4096
 
 
 def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
