@@ -15,8 +15,8 @@ REMEMBERED, LONGEST = 1_000_000, 64
 _OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 
 
-# Letters, and a mark that ends them: one pre-token or two, whatever the Unicode version.
-_LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,]?)")
+# Letters, and then marks but no apostrophe: one pre-token or two, whatever the Unicode version.
+_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -33,83 +33,81 @@ def _unsafe(text: str) -> bool:
     return text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or bool(_OTHER_SPACE.search(text))
 
 
+class _Pieces(dict):
+    """Ids of pieces that stand behind ``lead``; a piece that isn't there yet is encoded, and kept while there is room."""
+
+    def __init__(self, encoder: Encoder, lead: str):
+        super().__init__()
+        self.encoder, self.lead, self.start = encoder, lead, lead.translate(encoder.letters)
+
+    def __missing__(self, piece: str) -> bytes:
+        e = self.encoder
+        if m := _LETTERS.fullmatch(piece):
+            word, marks = m.groups()
+            ids = (self[word] if marks in e.common else e.token(self.start, word)) + e.marks[marks] if marks else e.token(self.start, word)
+        else:
+            ids = e.whole(self.lead + piece)
+        if len(self) < REMEMBERED and len(piece) <= LONGEST:
+            self[piece] = ids
+        return ids
+
+
+class _Marks(dict):
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, marks: str) -> bytes:
+        ids = self.encoder.token("", marks)
+        if len(self) < REMEMBERED // 100 and len(marks) <= LONGEST:
+            self[marks] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole texts as little-endian uint32 bytes, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
     The pre-tokenizer of byte-level BPE never lets a token reach over a space or a line end that stands between two
     characters that are no white space: a space goes with what follows, a line end stands alone. So such a text is cut
-    there, each distinct piece goes through the library once, and its ids are remembered. A text with any other white
-    space next to a space or line end, or with an added token's string, goes through the library whole.
+    there, each distinct piece goes through the library once, and its ids are remembered. Pieces of letters and marks go
+    to the library's model, as its pre-tokenizer would hand them on, the rest through the whole tokenizer. A text with any
+    other white space next to a space or line end, or with an added token's string, goes through the tokenizer whole.
     """
 
+    common = (".", ",")
+
     def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
         self.added = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.newline = self._ids("\n")
-        self.newline_id = int.from_bytes(self.newline, "little")
-        self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.marks = {"": b"", ".": self._ids("."), ",": self._ids(",")}
-        self.begins: dict[str, bytes] = {}
-        self.follows: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self.tokenize, self.letters = self.tokenizer.model.tokenize, _byte_letters()
+        self.newline = self.whole("\n")
+        self.marks = _Marks(self)
+        self.begins, self.follows = _Pieces(self, ""), _Pieces(self, " ")
 
-    def _learn(self, known: dict[str, bytes], lead: str, pieces: set[str]) -> dict[str, bytes]:
-        """A dictionary with all of ``pieces``: ``known``, as long as there is room.
-
-        Words of letters go through the library's model, as its pre-tokenizer would hand them on; the rest through the
-        tokenizer in one text, a line each.
-        """
-        new = list(pieces - known.keys())
-        if not new:
-            return known
-        fresh, hard, tokenize, start = {}, [], self.model.tokenize, lead.translate(self.letters)
-        for p in new:
-            if not (m := _LETTERS.fullmatch(p)):
-                hard.append(p)
-                continue
-            word, mark = m.groups()
-            ids = known.get(word) if mark else None
-            if ids is None:
-                seen = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-                ids = array("I", [t.id for t in tokenize(start + seen)]).tobytes()
-            fresh[p] = ids + self.marks[mark]
-        if hard:
-            ids = np.array(self.tokenizer.encode("\n".join([lead + p for p in hard]), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(ids == self.newline_id).tolist()
-            raw = ids.tobytes()
-            fresh |= {p: raw[4 * i : 4 * j] for p, i, j in zip(hard, [0, *[e + 1 for e in ends]], [*ends, len(ids)], strict=True)}
-        if len(known) + len(new) <= REMEMBERED and max(map(len, new)) <= LONGEST:
-            known.update(fresh)
-            return known
-        if len(known) < REMEMBERED:
-            known.update((p, b) for p, b in fresh.items() if len(p) <= LONGEST)
-        return {p: known[p] for p in pieces & known.keys()} | fresh
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def batch(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        whole = [_unsafe(t) or any(a in t for a in self.added) for t in texts]
-        cut = [None if w or not t else [line.split(" ") for line in t.split("\n")] for t, w in zip(texts, whole)]
-        begins = self._learn(self.begins, "", {line[0] for lines in cut if lines for line in lines})
-        follows: set[str] = set()
-        for lines in cut:
-            for line in lines or ():
-                follows.update(line[1:])
-        begin, follow = begins.__getitem__, self._learn(self.follows, " ", follows).__getitem__
-        out = []
-        for t, lines in zip(texts, cut):
-            if lines is None:
-                out.append(self._ids(t) if t else b"")
-            else:
-                out.append(self.newline.join([begin(line[0]) + b"".join(map(follow, line[1:])) for line in lines]))
-        return out
+    def token(self, start: str, word: str) -> bytes:
+        """Ids of one pre-token."""
+        seen = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenize(start + seen)]).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        return self.batch([text])[0]
+        if not text:
+            return b""
+        if _unsafe(text) or any(a in text for a in self.added):
+            return self.whole(text)
+        out, begin, follow = [], self.begins.__getitem__, self.follows.__getitem__
+        for line in text.split("\n"):
+            pieces = line.split(" ")
+            out.append(begin(pieces[0]) + b"".join(map(follow, pieces[1:])))
+        return self.newline.join(out)
+
+    def batch(self, texts: list[str]) -> list[bytes]:
+        return [self(t) for t in texts]
 
 
 @lru_cache(maxsize=4)
