@@ -102,7 +102,7 @@ def fit_arrays(rows: list[np.ndarray], grade: np.ndarray, steps: int = 300, rate
     index, flat, doc = index[often], place[flat[keep]], doc[keep]
     if len(kinds) < 2 or not len(index):
         only = int(kinds[0]) if len(kinds) else 2
-        return OrdinalModel({}, tuple(-30.0 if k < only else 30.0 for k in range(max(2, only + 1))))
+        return OrdinalModel({}, tuple(-30.0 if k < only else 30.0 for k in range(max(2, only))))
     top = max(2, int(kinds.max()))
     level = np.searchsorted(kinds, grade)  # grades without rows have no threshold to learn
     n, cuts = len(grade), len(kinds) - 1
