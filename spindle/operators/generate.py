@@ -76,7 +76,7 @@ def generate(prompts: DataFrame, model: str = "stub", num_completion: int = 1, m
     d = d.withColumn("sample_index", F.explode(F.sequence(F.lit(1), F.lit(num_completion))))
     if done is not None:
         d = remaining(d, done, [key, "sample_index"])
-    schema = d.schema.add("response", "array<string>").add("error", "string")
+    schema = d.select("*", F.lit(None).cast("array<string>").alias("response"), F.lit(None).cast("string").alias("error")).schema
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make()

@@ -5,15 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.diff import line_diff
+from ..functions.diff import COUNTS, diff_counts
 
 
 def with_diff(df: DataFrame, old: str = "old_code", new: str = "new_code") -> DataFrame:
-    """Adds the five diff counts and ``changed``, their sum over lines."""
-    d = df.withColumn("__d", line_diff(old, new)).select(*df.columns, "__d.*")
+    """Adds the five diff counts and ``changed``, their sum over lines. Null texts are empty.
+
+    Whole Arrow batches go through, so the other columns aren't converted; on a stream it is the same.
+    """
+    kinds = df.select("*", *[F.lit(None).cast("int").alias(c) for c in COUNTS]).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (old, new))
+            counts = list(zip(*(diff_counts(a or "", b or "") for a, b in zip(*sides)))) or [()] * len(COUNTS)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int32()) for c in counts)], [*batch.schema.names, *COUNTS])
+
+    d = df.mapInArrow(run, kinds)
     return d.withColumn("changed", F.col("added") + F.col("removed") + F.col("modified"))
 
 

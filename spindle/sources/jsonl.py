@@ -96,7 +96,7 @@ class MixConfig:
 
     @classmethod
     def of(cls, d: dict[str, Any]) -> MixConfig:
-        names = cls.__dataclass_fields__
+        names = set(cls.__dataclass_fields__) - {"extra"}
         return cls(**{k: v for k, v in d.items() if k in names}, extra={k: v for k, v in d.items() if k not in names})
 
     @classmethod
