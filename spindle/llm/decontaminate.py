@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -144,8 +144,25 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     spark = docs.sparkSession
     small_batches(spark)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    schema = "doc_id long, item_id long, score double, begin long, end long"
-    out = spark.createDataFrame([], schema)
+    out = spark.createDataFrame([], _HIT)
+    for items in _item_blocks(benchmark, item_col, item_text_col, block_items):
+        find = _finder(d, items, least_score)
+
+        def hits(batches: Iterator[pa.RecordBatch], find=find, ids=items.ids) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = [(doc, ids[i], score, a, b) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for i, score, a, b in find(text)]
+                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], ["doc_id", "item_id", "score", "begin", "end"])
+
+        out = out.unionByName(d.mapInArrow(hits, _HIT))
+    return out
+
+
+_HIT = "doc_id long, item_id long, score double, begin long, end long"
+
+
+def _item_blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_items: int) -> Iterator[Items]:
+    """The test items in blocks of bounded size, those with an n-gram."""
     rows = benchmark.select(F.col(item_col).cast("long").alias("item_id"), text_or_empty(item_text_col).alias("text"))
     if rows.count() > block_items:
         n = -(-rows.count() // block_items)
@@ -156,11 +173,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         held = block.collect()
         items = Items([r.item_id for r in held], [r.text for r in held])
         if len(items.all):
-            out = out.unionByName(_block_leaks(d, items, least_score, schema))
-    return out
+            yield items
 
 
-def _block_leaks(d: DataFrame, items: Items, least_score: float, schema: str) -> DataFrame:
+def _finder(d: DataFrame, items: Items, least_score: float) -> Callable[[str], list[tuple]]:
+    """Counts the items' n-grams in all of ``d`` and returns the search of one text, for use in tasks."""
     sc = d.sparkSession.sparkContext
     sent_items = sc.broadcast(items)
     sent_all = sc.broadcast(_Finder(items.all))
@@ -182,19 +199,19 @@ def _block_leaks(d: DataFrame, items: Items, least_score: float, schema: str) ->
     seeds = items.seeds(df)
     sent_seeds, sent_finder = sc.broadcast(seeds), sc.broadcast(_Finder(np.unique(seeds[0])))
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = sent_items.value
-        for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows += [(doc, items.ids[i], score, a, b) for i, score, a, b in align(words(text), items, sent_finder.value, sent_seeds.value, least_score)]
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], ["doc_id", "item_id", "score", "begin", "end"])
+    return lambda text: align(words(text), sent_items.value, sent_finder.value, sent_seeds.value, least_score)
+
 
-    return d.mapInArrow(find, schema)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least_score: float = LEAST_SCORE, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """The rows of ``docs`` that hold no test item, with all columns: each is judged where it lies, and nothing is joined."""
+    small_batches(docs.sparkSession)
+    d, at = docs.select(text_or_empty(text_col).alias("text")), docs.columns.index(text_col)
+    for items in _item_blocks(benchmark, item_col, item_text_col, block_items):
+        find = _finder(d, items, least_score)
 
+        def clean(batches: Iterator[pa.RecordBatch], find=find) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array([not find(t or "") for t in batch.column(at).to_pylist()], pa.bool_()))
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no test item, with all columns."""
-    leaks = find_leaks(docs, benchmark, id_col, text_col, **options).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(leaks, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs

@@ -132,5 +132,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def apply_mix(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` with each row as often as ``mixed`` takes its id; rows of one id are taken alike."""
     take = mixed.groupBy("doc_id").agg(F.max("copies").alias("__copies")).filter("__copies > 0").withColumnRenamed("doc_id", "__id")
+    take = written(take, "take")
+    take = maybe_broadcast(take, take.count())
     cols = [F.col(f"`{c}`") for c in docs.columns]
     return docs.join(take, docs[id_col].eqNullSafe(F.col("__id"))).select(*cols, F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")).drop("__copy")

@@ -255,4 +255,5 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that :func:`groups` keeps: one document of each group, with all columns."""
     gone = groups(docs, id_col, text_col, words, percent).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    gone = written(gone, "gone")
+    return docs.join(maybe_broadcast(gone, gone.count()), docs[id_col] == F.col("__gone"), "left_anti")

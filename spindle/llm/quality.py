@@ -181,7 +181,15 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
     return d.mapInArrow(run, "doc_id long, expected_grade double, p_top double, kept boolean")
 
 
-def select(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that the model keeps, with all columns; a row goes by its id's score."""
-    gone = score(docs, model, id_col, text_col, least).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+def select(docs: DataFrame, model: OrdinalModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that the model keeps, with all columns: each is judged where it lies, and nothing is joined."""
+    small_batches(docs.sparkSession)
+    sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, seen = sent.value, {}
+        for batch in batches:
+            s = np.array([m.score(t or "", seen) for t in batch.column(at).to_pylist()])
+            yield batch.filter(pa.array(0.5 * (1 - np.tanh((m.thresholds[-1] - s) / 2)) >= least, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
