@@ -71,18 +71,26 @@ def odd_sketch(h: np.ndarray) -> tuple[np.ndarray, int]:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64), len(h)
 
 
-def estimate(ones: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Similarity from the ones of the XOR of two sketches and their numbers of samples."""
+def estimate(ones: np.ndarray, k_a: np.ndarray, k_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    """Similarity from the ones of the XOR of two sketches, their numbers of samples, and the sizes of the sets.
+
+    Samples that agree stand against the ranges in which the union has a value. Of whole sets that is the union itself; of
+    samples, it is what a union of the size at the bound fills.
+    """
     differ = -BITS / 2 * np.log(np.maximum(1 - 2 * ones / BITS, 1e-9))
-    return (a + b - differ) / 2 / np.maximum(a, b)
+    agree = (k_a + k_b - differ) / 2
+    filled = SAMPLES * (1 - np.exp(-(n_a + n_b) / (1 + percent / 100) / SAMPLES))
+    return agree / np.where((n_a <= WHOLE) & (n_b <= WHOLE), k_a + k_b - agree, filled)
 
 
 def _likely(sketch_a: str, sketch_b: str, percent: int) -> Column:
     """Whether two sketches leave it open that the bound is met; a sample and a whole set can't be compared."""
     ones = F.aggregate(F.zip_with(sketch_a, sketch_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     differ = F.lit(-BITS / 2) * F.log(F.greatest(1 - 2 * ones / BITS, F.lit(1e-9)))
-    est = (F.col("k_a") + F.col("k_b") - differ) / 2 / F.greatest("k_a", "k_b")
+    agree = (F.col("k_a") + F.col("k_b") - differ) / 2
+    filled = SAMPLES * (1 - F.exp(-(F.col("n_a") + F.col("n_b")) / F.lit((1 + percent / 100) * SAMPLES)))
     whole_a, whole_b = F.col("n_a") <= WHOLE, F.col("n_b") <= WHOLE
+    est = agree / F.when(whole_a, F.col("k_a") + F.col("k_b") - agree).otherwise(filled)
     return (whole_a != whole_b) | (est >= percent / 100 - F.when(whole_a, WHOLE_MARGIN).otherwise(MARGIN))
 
 
@@ -153,7 +161,7 @@ def _block_pairs(rest: DataFrame, percent: int, forest: bool) -> DataFrame:
             j = np.flatnonzero((comp[i + 1 :] != comp[i]) & ((mine[i + 1 :] != mine[i]) | (lo == hi)) & (100 * np.minimum(n[i + 1 :], n[i]) >= percent * np.maximum(n[i + 1 :], n[i]))) + i + 1
             if not len(j):
                 continue
-            est = estimate(np.bitwise_count(sketch[j] ^ sketch[i]).sum(1), k[j], k[i])
+            est = estimate(np.bitwise_count(sketch[j] ^ sketch[i]).sum(1), k[j], k[i], n[j], n[i], percent)
             whole = n[j] <= WHOLE
             near = (whole != (n[i] <= WHOLE)) | (est >= percent / 100 - np.where(whole, WHOLE_MARGIN, MARGIN))
             j, est = j[near], est[near]

@@ -390,7 +390,7 @@ def test_estimates_are_close():
         (s, k), (t, m) = near_dedup.odd_sketch(x), near_dedup.odd_sketch(y)
         ones = np.bitwise_count(s.view(np.uint64) ^ t.view(np.uint64)).sum()
         exact = len(np.intersect1d(x, y)) / len(np.union1d(x, y))
-        assert abs(near_dedup.estimate(ones, k, m) - exact) < 0.05
+        assert abs(near_dedup.estimate(ones, k, m, len(x), len(y), 85) - exact) < 0.02
 
 
 def test_components(spark):
