@@ -86,7 +86,8 @@ def fit_arrays(rows: list[np.ndarray], grade: np.ndarray, steps: int = 300, rate
     """
     grade = np.asarray(grade, np.int64)
     kinds = np.unique(grade)
-    index, flat = np.unique(np.concatenate([np.zeros(0, np.int64), *rows]), return_inverse=True)
+    flat = np.concatenate([np.zeros(0, np.int64), *rows])
+    index = np.arange(flat.max() + 1 if len(flat) else 0)
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     in_all = np.bincount(flat, minlength=len(index))
     z = np.zeros(len(index))
