@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Characters that Python's str.strip() and Java's Unicode white space share, and the four that only Python has.
-_SPACE = r"[\s\x1c-\x1f]"
+#: What Python's str.strip() takes away.
+SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _LINE_END = "\r\n|[\n\r\x0b\f\x1c-\x1e\x85  ]"
 
 
@@ -18,8 +18,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def py_strip(c: Column | str) -> Column:
-    """``str.strip()``: Unicode white space from both ends."""
-    return F.regexp_replace(c, rf"(?U)\A{_SPACE}+|{_SPACE}+\z", "")
+    """``str.strip()``: Unicode white space from both ends, which alone are looked at."""
+    return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(SPACE))
 
 
 def splitlines(c: Column | str) -> Column:

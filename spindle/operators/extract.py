@@ -13,7 +13,7 @@ DESCRIPTIVE_MARKS = ("### [Descriptive]", "[Descriptive]", "### Descriptive")
 LAZY_MARKS = ("### [Lazy]", "[Lazy]", "### Lazy")
 NEW_CODE_MARKS = ("### [Program After Edit]", "[Program After Edit]", "### Program After Edit")
 LAZY_ENDS = ("###", "---", "[Program Before Edit]", "```")
-FENCE = r"```([^\s`]+)?\s*\n([\s\S]*?)```"
+FENCE = r"```([^\s`]+)?\s*\n((?:[^`]++|`(?!``))*+)```"
 INSTRUCTION_TRIM = "-`*#\n "
 
 SECTIONS = ("code_before", "instruct_descriptive", "instruct_lazy", "code_after")
@@ -26,9 +26,9 @@ def has_mark(c: Column, marks: tuple[str, ...]) -> Column:
     return found
 
 
-def _at(mark: str, c: Column, start: Column | int = 1) -> Column:
-    """Place of a mark from 1, null where it isn't."""
-    return F.nullif(F.call_function("locate", F.lit(mark), c, F.lit(start)), F.lit(0))
+def _at(mark: str, c: Column) -> Column:
+    """Place of a mark from 1, null where it isn't. Bytes are searched and characters counted once, unlike ``locate``."""
+    return F.when(c.contains(mark), F.length(F.substring_index(c, mark, 1)) + 1)
 
 
 def _after(c: Column, marks: tuple[str, ...]) -> Column:
@@ -40,6 +40,12 @@ def _slice(c: Column, start: Column, end: Column) -> Column:
     return py_strip(F.substring(c, start, F.greatest(end - start, F.lit(0))))
 
 
+def _once(df: DataFrame, struct: Column) -> DataFrame:
+    """The fields of a struct as columns. The generator is a bar to the optimizer, which would compute the struct anew for
+    each filter or column that reads a field."""
+    return df.select("*", F.inline(F.array(struct)))
+
+
 def separate_sections(df: DataFrame, response_1: str = "response_1", response_2: str = "response_2") -> DataFrame:
     """Adds ``code_before, instruct_descriptive, instruct_lazy, code_after, reason``.
 
@@ -48,12 +54,12 @@ def separate_sections(df: DataFrame, response_1: str = "response_1", response_2:
     def sections(one: Column, two: Column) -> Column:
         earliest = lambda marks: F.least(*[_at(m, one) for m in marks])
         cut = lambda start, end: let(start, lambda s: _slice(one, s, end(s)))
-        lazy_end = lambda s: F.coalesce(F.least(*[_at(m, one, s) for m in LAZY_ENDS]), F.length(one) + 1)
+        until = lambda rest: py_strip(F.substring(rest, F.lit(1), F.coalesce(F.least(*[_at(m, rest) for m in LAZY_ENDS]) - 1, F.length(rest))))
         marked = has_mark(one, OLD_CODE_MARKS) & has_mark(one, DESCRIPTIVE_MARKS) & has_mark(one, LAZY_MARKS) & has_mark(two, NEW_CODE_MARKS)
         return F.struct(
             cut(_after(one, OLD_CODE_MARKS), lambda s: earliest(DESCRIPTIVE_MARKS)).alias("code_before"),
             cut(_after(one, DESCRIPTIVE_MARKS), lambda s: earliest(LAZY_MARKS)).alias("instruct_descriptive"),
-            cut(_after(one, LAZY_MARKS), lazy_end).alias("instruct_lazy"),
+            let(F.substring(one, _after(one, LAZY_MARKS), F.length(one)), until).alias("instruct_lazy"),
             let(_after(two, NEW_CODE_MARKS), lambda s: _slice(two, s, F.length(two) + 1)).alias("code_after"),
             marked.alias("marked"),
         )
@@ -64,7 +70,7 @@ def separate_sections(df: DataFrame, response_1: str = "response_1", response_2:
 
     one, two = (F.coalesce(F.col(c), F.lit("")) for c in (response_1, response_2))
     found = let(let(one, lambda x: let(two, lambda y: sections(x, y))), judged)
-    return df.withColumn("__s", found).withColumns({f: F.col("__s")[f] for f in (*SECTIONS, "reason")}).drop("__s")
+    return _once(df, found)
 
 
 def is_single_line(c: Column) -> Column:
@@ -111,6 +117,6 @@ def purified_instruction(c: Column) -> Column:
 
 def purify(df: DataFrame, code_fields: tuple[str, ...] = ("code_before", "code_after"), instruction_fields: tuple[str, ...] = ("instruct_descriptive", "instruct_lazy"), drop_unpurified: bool = False, **options) -> DataFrame:
     """Adds ``{field}_purify``. A row without fenced code stays, with null, unless ``drop_unpurified``."""
-    df = df.withColumns({f"{f}_purify": purified_code(F.col(f), **options) for f in code_fields})
-    df = df.withColumns({f"{f}_purify": purified_instruction(F.col(f)) for f in instruction_fields})
+    code = [purified_code(F.col(f), **options).alias(f"{f}_purify") for f in code_fields]
+    df = _once(df, F.struct(*code, *[purified_instruction(F.col(f)).alias(f"{f}_purify") for f in instruction_fields]))
     return df.dropna(subset=[f"{f}_purify" for f in code_fields]) if drop_unpurified else df
