@@ -26,7 +26,7 @@ def extract_triplets(responses: DataFrame, **options) -> tuple[DataFrame, DataFr
 def group_balanced(df: DataFrame, group: str, row_id: str, config: FilterConfig, old: str = "code_before_purify", new: str = "code_after_purify") -> DataFrame:
     """The diff filter, then a sample balanced by any column."""
     small = filter_by_diff(df, old, new, config.max_modify_lines, config.max_hunk_num)
-    return balance_by_group(small, group, row_id, total=config.max_samples_total, seed=config.random_seed or 0)
+    return balance_by_group(small, group, row_id, config.max_samples_total, config.max_samples_per_topic, config.random_seed or 0)
 
 
 def dt_filter(mixed: DataFrame, config: FilterConfig, row_id: str, cache: str | None = None, **options) -> DataFrame:
@@ -36,7 +36,7 @@ def dt_filter(mixed: DataFrame, config: FilterConfig, row_id: str, cache: str |
     tokens = small.withColumn("tokens", topic_tokens(text)).persist()
     model = cached_fit(tokens, cache, refit=config.refit, seed=config.random_seed or 0, **options) if cache else TopicModel.fit(tokens, seed=config.random_seed or 0, **options)
     topics = model.assign(tokens)
-    return balance_by_group(topics, "topic", row_id, total=config.max_samples_total, seed=config.random_seed or 0).drop("tokens", "topic")
+    return balance_by_group(topics, "topic", row_id, config.max_samples_total, config.max_samples_per_topic, config.random_seed or 0).drop("tokens", "topic")
 
 
 def topic_report(df: DataFrame, row_id: str, tokens: str = "tokens", **options) -> tuple[DataFrame, DataFrame]:

@@ -73,13 +73,16 @@ class FilterConfig:
     random_seed: int | None = None
     max_modify_lines: int = 70
     max_hunk_num: int = 7
-    max_samples_total: int = 10_000
+    max_samples_total: int | None = 10_000
+    max_samples_per_topic: int | None = None
     refit: bool = False
 
     @classmethod
     def of(cls, d: dict[str, Any]) -> FilterConfig:
         names = d["field_name"]
         known = {k: v for k, v in (d.get("filter_settings") or {}).items() if k in cls.__dataclass_fields__}
+        if known.get("max_samples_per_topic") is not None:
+            known.setdefault("max_samples_total", None)
         return cls(d["jsonl_path"], [names] if isinstance(names, str) else list(names), d["data_format"], d.get("random_seed"), **known)
 
 

@@ -207,6 +207,9 @@ def test_dt_filter(spark):
     df = spark.createDataFrame(rows, "i long, code_before_purify string, code_after_purify string, instruct_purify string")
     config = jsonl.FilterConfig.of({"jsonl_path": "x", "field_name": "f", "data_format": "general", "random_seed": 1, "filter_settings": {"max_samples_total": 10}})
     assert (config.max_modify_lines, config.max_hunk_num, config.field_name) == (70, 7, ["f"])
+    each = jsonl.FilterConfig.of({"jsonl_path": "x", "field_name": ["f"], "data_format": "general", "filter_settings": {"max_samples_per_topic": 2}})
+    by_code = df.withColumn("g", F.col("i") % 4)
+    assert pipelines.group_balanced(by_code, "g", "i", each).count() == 8
     out = pipelines.dt_filter(df, config, "i", k=3, iterations=3)
     assert out.count() == 10 and out.columns == df.columns
 
