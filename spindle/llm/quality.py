@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,31 +32,39 @@ def _shape(word: str) -> str:
     return "caps" if len(word) > 1 and word.isupper() else "plain"
 
 
-def features(text: str, seen: dict[str, tuple[str, ...]]) -> set[str]:
-    """Names of the features of a text: its distinct words and stems, and shares of odd words and repeats in steps.
+def _named(token: str) -> tuple[str, ...]:
+    """Its shape, and the names of a word: its letters, lower-cased, and their first few."""
+    core = "".join(_CORE.findall(token.lower()))
+    return (_shape(token), core, "^" + core[:_STEM]) if core else (_shape(token),)
 
-    A word is reduced to its letters, lower-cased; ``seen`` remembers what a word gives.
+
+def _shares(tokens: list[str], odd: dict[str, int]) -> list[str]:
+    """Names of the shares of odd words and repeats, in steps."""
+    n, kinds = len(tokens), len(set(tokens))
+    shares = (("mark", odd["mark"] / n), ("caps", odd["caps"] / n), ("repeat", sum(map(str.__eq__, tokens, tokens[1:])) / n), ("few", 1 - kinds / n if n >= 20 else 0))
+    return [f"§{name}{step}" for name, share in shares for step in (0.02, 0.05, 0.1, 0.2, 0.4, 0.7) if share >= step]
+
+
+def features(text: str, seen: dict[str, tuple], keep: Container[int] | None = None) -> set[int]:
+    """Hashed features of a text: its distinct words and stems, and shares of odd words and repeats; those in ``keep`` only.
+
+    ``seen`` remembers what a word gives, for one ``keep``.
     """
     tokens = text.split()
-    out: set[str] = set()
-    if not tokens:
-        return {"§empty"}
+    out: set[int] = set()
     odd = {"mark": 0, "caps": 0, "plain": 0}
-    repeats = sum(map(str.__eq__, tokens, tokens[1:]))
     for t in tokens:
         got = seen.get(t)
         if got is None:
-            core = "".join(_CORE.findall(t.lower()))
-            got = (_shape(t), *((core, "^" + core[:_STEM]) if core else ()))
+            shape, *names = _named(t)
+            got = (shape, tuple(b for b in map(_bucket, names) if keep is None or b in keep))
             if len(seen) < 500_000:
                 seen[t] = got
         odd[got[0]] += 1
-        out.update(got[1:])
-    n = len(tokens)
-    for name, share in (("mark", odd["mark"] / n), ("caps", odd["caps"] / n), ("repeat", repeats / n), ("few", 1 - len(set(tokens)) / n if n >= 20 else 0)):
-        for step in (0.02, 0.05, 0.1, 0.2, 0.4, 0.7):
-            if share >= step:
-                out.add(f"§{name}{step}")
+        if got[1]:
+            out.update(got[1])
+    rest = map(_bucket, _shares(tokens, odd) if tokens else ["§empty"])
+    out.update(b for b in rest if keep is None or b in keep)
     return out
 
 
@@ -73,7 +81,7 @@ class OrdinalModel:
 
     def score(self, text: str, seen: dict) -> float:
         w = self.weights
-        return sum(w.get(_bucket(f), 0.0) for f in features(text, seen))
+        return sum(w[b] for b in sorted(features(text, seen, w)))
 
 
 def fit_arrays(rows: list[np.ndarray], grade: np.ndarray, steps: int = 300, rate: float = 0.5, l1: float = 1e-4, least: int = 4, least_z: float = 6.0) -> OrdinalModel:
@@ -152,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict = {}
         for batch in batches:
-            found = [sorted({_bucket(f) for f in features(t, seen)}) for t in batch.column(1).to_pylist()]
+            found = [sorted(features(t, seen)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int32()))], ["id", "grade", "features"])
 
     got = d.mapInArrow(hashed, "id long, grade int, features array<int>").toArrow()
