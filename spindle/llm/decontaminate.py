@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds name candidate passages, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: counts of word pairs name candidate passages, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
@@ -10,12 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches, text_or_empty
-from .hashing import U, grams, words
+from .hashing import BASE, U, grams, mixed, words
 
-#: Words in a seed.
-GRAM = 3
-#: Of an item's n-grams, the share of the rarest in the corpus that are seeds; at least this many, if it has them.
-SEED_SHARE, LEAST_SEEDS = 0.6, 8
+#: Words of the shortest item that is searched.
+LEAST_WORDS = 3
 #: Score of equal words, other words, and a gap; an alignment counts from this share of the item's own score.
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
@@ -49,34 +47,39 @@ def smith_waterman(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int
 
 
 class Items:
-    """A block of test items with their seeds."""
+    """A block of test items and their pairs of neighbouring words: every pair's digest in order, with its item."""
 
     def __init__(self, ids: list[int], texts: list[str]):
-        self.ids = ids
+        self.ids, self._least = ids, None
         self.words = [words(t) for t in texts]
-        self.gram = [min(GRAM, len(w)) for w in self.words]
-        held = [np.unique(grams(w, g)) if g == GRAM else np.zeros(0, U) for w, g in zip(self.words, self.gram)]
-        self.grams = held
-        self.all = np.unique(np.concatenate([np.zeros(0, U), *held]))
-
-    def seeds(self, df: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Seed digests in order, with an item and a place in it for each; ``df`` counts the documents of ``self.all``."""
-        seed, item, place = [], [], []
-        for k, (w, held) in enumerate(zip(self.words, self.grams)):
-            if not len(held):
-                continue
-            order = np.argsort(df[np.searchsorted(self.all, held)], kind="stable")
-            rare = held[order[: max(LEAST_SEEDS, int(np.ceil(SEED_SHARE * len(held))))]]
-            every = grams(w, GRAM)
-            at = np.flatnonzero(np.isin(every, rare))
-            seed.append(every[at])
-            item.append(np.full(len(at), k))
-            place.append(at)
-        if not seed:
-            return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        seed, item, place = map(np.concatenate, (seed, item, place))
+        pairs = [_pairs_of(w) for w in self.words]
+        seed = np.concatenate([np.zeros(0, U), *pairs])
+        item = np.repeat(np.arange(len(pairs)), [len(x) for x in pairs])
         order = np.argsort(seed, kind="stable")
-        return seed[order], item[order], place[order]
+        self.seed, self.item = seed[order], item[order]
+
+    def least(self, least_score: float) -> np.ndarray:
+        """Seeds of each item that a passage needs."""
+        if self._least is None or self._least[0] != least_score:
+            self._least = least_score, np.array([least_hits(len(w), least_score) for w in self.words], np.int64)
+        return self._least[1]
+
+
+def _pairs_of(w: np.ndarray) -> np.ndarray:
+    """The seeds of an item: neighbouring words; of three words, the outer two as well."""
+    if len(w) < LEAST_WORDS:
+        return np.zeros(0, U)
+    return np.concatenate([grams(w, 2), grams(w[::2], 2)]) if len(w) == 3 else grams(w, 2)
+
+
+def least_hits(n: int, least_score: float) -> int:
+    """How many seeds of an item of n words at least stand in a passage that scores ``least_score``.
+
+    Let m words match, with score 2m - e, and T = 2 * least_score * n. Of the m - 1 steps from a match to the next, all are
+    seeds but those x that skip words of the item and those y that skip two words of the passage or more. As x <= n - m and
+    x + 2y <= e <= 2m - T, at least m - 1 - x - y >= (2T - n) / 3 - 1 are.
+    """
+    return max(1, int(np.ceil((4 * least_score - 1) * n / 3 - 1 - 1e-9)))
 
 
 class _Finder:
@@ -96,30 +99,35 @@ class _Finder:
         return maybe[self.digests[at] == g[maybe]]
 
 
-def align(text_words: np.ndarray, items: Items, finder: _Finder, seeds: tuple, least_score: float) -> list[tuple]:
+def align(text_words: np.ndarray, items: Items, finder: _Finder, least_score: float) -> list[tuple]:
     """Hits of one document: ``(item place, score share, begin, end)`` in words."""
-    if not len(finder.digests) or len(text_words) < GRAM:
+    if not len(finder.digests):
         return []
-    g = grams(text_words, GRAM)
-    where = finder.places(g)
-    if not len(where):
-        return []
-    seed, item, place = seeds
-    lo, hi = np.searchsorted(seed, g[where], "left"), np.searchsorted(seed, g[where], "right")
+    near, far = grams(text_words, 2), mixed(text_words[:-2] * BASE + text_words[2:])
+    at_near, at_far = finder.places(near), finder.places(far)
+    g, where = np.concatenate([near[at_near], far[at_far]]), np.concatenate([at_near, at_far])
+    lo, hi = np.searchsorted(items.seed, g, "left"), np.searchsorted(items.seed, g, "right")
     times = hi - lo
+    which = items.item[np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
     at = np.repeat(where, times)
-    k = np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    which, begin = item[k], at - place[k]
+    count = np.bincount(which, minlength=len(items.words))
     out = []
-    for i in np.unique(which):
-        w = items.words[i]
-        starts = np.unique(begin[which == i])
-        pad = max(4, len(w) // 2)
-        cuts = np.flatnonzero(np.diff(starts) > 2 * pad) + 1
+    for i in np.flatnonzero(count >= items.least(least_score)):
+        w, k = items.words[i], items.least(least_score)[i]
+        span = int(np.ceil((3 - 2 * least_score) * len(w)))  # the longest passage that scores enough
+        hits = np.sort(at[which == i])
+        first, last = hits[: len(hits) - k + 1], hits[k - 1 :]
+        dense = last - first <= span
+        if not dense.any():
+            continue
+        begin, end = np.maximum(last[dense] - span, 0), first[dense] + span + 2
+        cuts = np.flatnonzero(begin[1:] > end[:-1]) + 1
         best = (0, 0, 0)
-        for group in np.split(starts, cuts):
-            a, b = max(0, int(group[0]) - pad), min(len(text_words), int(group[-1]) + len(w) + pad)
-            s, x, y = smith_waterman(w, text_words[a:b])
+        for a, b in zip(begin[np.append(0, cuts)].tolist(), end[np.append(cuts - 1, len(end) - 1)].tolist()):
+            passage = text_words[a:b]
+            if np.isin(w, passage).sum() < least_score * len(w):
+                continue
+            s, x, y = smith_waterman(w, passage)
             best = max(best, (s, a + x, a + y))
         if best[0] >= least_score * MATCH * len(w):
             out.append((int(i), best[0] / (MATCH * len(w)), best[1], best[2]))
@@ -129,15 +137,14 @@ def align(text_words: np.ndarray, items: Items, finder: _Finder, seeds: tuple, l
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least_score: float = LEAST_SCORE, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """One row per document and test item that it holds: ``doc_id, item_id, score, begin, end``.
 
-    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. A first pass over all documents counts in how many each n-gram
-    of the test items stands. An item's seeds are its rarest n-grams: how rare they have to be depends on the item alone,
-    so an item that very many documents hold keeps its seeds. A second pass joins documents to items by seed, through a
-    table that goes to every worker, and aligns each item with the passages around its seeds; ``score`` is the alignment's
-    share of the item's own score, so edited and partly rewritten copies count from ``least_score`` on. Nothing is
-    shuffled but counts.
+    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. An item's seeds are its pairs of neighbouring words, which may
+    stand in a document next to each other or with one word between. A passage that holds as many seeds as any that scores
+    ``least_score`` must hold (:func:`least_hits`) is aligned with the item; ``score`` is the alignment's share of the
+    item's own score, so edited and partly rewritten copies count from ``least_score`` on, and from 0.5 on none that the
+    alignment accepts is passed over. The items go to every worker, and nothing is shuffled.
 
     The test items are a stated query set: blocks of ``block_items`` of them are compared with all documents, one block
-    after another, so what goes to the workers is bounded. Items of fewer than three words have no n-gram and are not
+    after another, so what goes to the workers is bounded. Items of fewer than three words are not
     searched. Null texts are empty; null item ids are kept as null; rows that repeat are compared alike; with no documents
     or no items there are no rows; extra columns are not read.
     """
@@ -162,7 +169,7 @@ _HIT = "doc_id long, item_id long, score double, begin long, end long"
 
 
 def _item_blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_items: int) -> Iterator[Items]:
-    """The test items in blocks of bounded size, those with an n-gram."""
+    """The test items in blocks of bounded size, those with a seed."""
     rows = benchmark.select(F.col(item_col).cast("long").alias("item_id"), text_or_empty(item_text_col).alias("text"))
     if rows.count() > block_items:
         n = -(-rows.count() // block_items)
@@ -172,34 +179,15 @@ def _item_blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_
     for block in blocks:
         held = block.collect()
         items = Items([r.item_id for r in held], [r.text for r in held])
-        if len(items.all):
+        if len(items.seed):
             yield items
 
 
 def _finder(d: DataFrame, items: Items, least_score: float) -> Callable[[str], list[tuple]]:
-    """Counts the items' n-grams in all of ``d`` and returns the search of one text, for use in tasks."""
+    """The search of one text, for use in tasks."""
     sc = d.sparkSession.sparkContext
-    sent_items = sc.broadcast(items)
-    sent_all = sc.broadcast(_Finder(items.all))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = sent_all.value
-        df = np.zeros(len(finder.digests), np.int64)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                g = grams(words(text), GRAM)
-                df[np.searchsorted(finder.digests, np.unique(g[finder.places(g)]))] += 1
-        some = np.flatnonzero(df)
-        yield pa.RecordBatch.from_pydict({"place": some, "n": df[some]})
-
-    counted = d.select("text").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    df = np.zeros(len(items.all), np.int64)
-    for r in counted.toLocalIterator():  # a row for each n-gram of the block of items
-        df[r.place] = r.n
-    seeds = items.seeds(df)
-    sent_seeds, sent_finder = sc.broadcast(seeds), sc.broadcast(_Finder(np.unique(seeds[0])))
-
-    return lambda text: align(words(text), sent_items.value, sent_finder.value, sent_seeds.value, least_score)
+    sent_items, sent_finder = sc.broadcast(items), sc.broadcast(_Finder(np.unique(items.seed)))
+    return lambda text: align(words(text), sent_items.value, sent_finder.value, least_score)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least_score: float = LEAST_SCORE, block_items: int = BLOCK_ITEMS) -> DataFrame:

@@ -216,6 +216,30 @@ def test_decontaminate(spark, odd, empty):
     assert decontaminate.find_leaks(empty, bench).collect() == [] and decontaminate.find_leaks(df, bench.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("copies", [0, 30])
+def test_decontaminate_finds_what_the_alignment_accepts(spark, copies):
+    """Edits at any spacing, with and without exact copies beside them, against the alignment of whole documents."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    edits = [lambda ws, n=n: [word() if k % n == n - 1 else w for k, w in enumerate(ws)] for n in (2, 3, 4, 5)]
+    edits += [lambda ws, n=n: [x for k, w in enumerate(ws) for x in ([w, word()] if k % n == n - 1 else [w])] for n in (1, 2, 3)]
+    edits += [lambda ws, n=n: [w for k, w in enumerate(ws) if k % n != n - 1] for n in (2, 3, 4)]
+    edits += [lambda ws, p=p: [word() if r.random() < p else w for w in ws] for p in (0.2, 0.25, 0.3, 0.35)]
+    common = [word() for _ in range(8)]
+    items = [[r.choice(common) if r.random() < 0.3 else word() for _ in range(n)] for n in (3, 4, 5, 15, 38, 38, 59)]
+    texts = [[*(word() for _ in range(50)), *edit(w), *(r.choice([word(), *common]) for _ in range(50))] for w in items for edit in edits]
+    texts += [w for w in items for _ in range(copies)]
+    df = table(spark, [(k, " ".join(t), None) for k, t in enumerate(texts)])
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    hashed = [decontaminate.words(" ".join(w)) for w in items]
+    score = lambda w, t: decontaminate.smith_waterman(w, decontaminate.words(" ".join(t)))[0] / (2 * len(w))
+    want = {(k, i): s for k, t in enumerate(texts) for i, w in enumerate(hashed) if (s := score(w, t)) >= 0.5}
+    got = {(x.doc_id, x.item_id): x.score for x in decontaminate.find_leaks(df, bench).collect()}
+    assert got == want
+    fourth = [14 * 4 + 2, 14 * 5 + 2]  # 38 words, every fourth replaced
+    assert all(want[k, k // 14] > 0.6 for k in fourth)
+
+
 # ---- 7 ----
 
 
