@@ -410,7 +410,7 @@ def split_identifiers(spark, d):
 @query()
 def topic_assign_lda(spark, d):
     x = _docs(spark, d).select("doc_id", word_tokens("text").alias("tokens"))
-    return TopicModel.fit(x, k=8, seed=SEED, iterations=5, vocabulary=5000).assign(x).select("doc_id", "topic")
+    return TopicModel.fit(x, seed=SEED).assign(x).select("doc_id", "topic")
 
 
 @query()

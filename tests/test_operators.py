@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from spindle import queries
 from spindle.functions.diff import diff_counts, register
 from spindle.operators import balance, extract, finetune, generate, mix, seeds, stats, topics
 from spindle.plans import pipelines
@@ -192,6 +193,23 @@ def test_topics(spark):
     assert topics.TopicModel.fit(df, k=3, iterations=2).describe(2).count() == 3
 
 
+def test_topics_use_all_words_and_documents(spark, monkeypatch):
+    """Words beyond the vocabulary count, unknown ones give -1, and the fit draws from all documents."""
+    rows = [(i, ["the"] * 4 + [f"{'ab'[i % 2]}{j}" for j in range(9)] * 3) for i in range(40)] + [(98, ["a1", "a2"]), (99, [])]
+    df = spark.createDataFrame(rows, "i long, tokens array<string>")
+    m = topics.TopicModel.fit(df, k=2, iterations=2, vocabulary=1)
+    bags = m.words.transform(df.withColumn("__names", topics._names(df, m.words, "tokens"))).collect()
+    assert all(r["__bag"].toArray().sum() == len(r.tokens) for r in bags)
+    assert {r.i: r["__bag"].numNonzeros() for r in bags if r.i > 97} == {98: 2, 99: 0}
+    assert all((r.topic >= 0) == (r.i != 99) for r in m.assign(df).collect())
+    full = topics.TopicModel.fit(df, k=2, iterations=1)
+    assert [r.topic for r in full.assign(spark.createDataFrame([(1, ["unheard"])], df.schema)).collect()] == [-1]
+    made, real = [], topics.LDA
+    monkeypatch.setattr(topics, "LDA", lambda **options: made.append(options) or real(**options))
+    queries.QUERIES["topic_assign_lda"](spark, "/root/testdata/sf0.001")
+    assert (made[0]["k"], made[0]["maxIter"], made[0]["subsamplingRate"]) == (20, 20, 1.0)
+
+
 def test_topic_cache(spark, tmp_path):
     df = spark.createDataFrame([(i, [f"t{i % 3}", "u"]) for i in range(12)], "i long, tokens array<string>")
     a = topics.cached_fit(df, f"file://{tmp_path}", k=2, iterations=2)
