@@ -16,7 +16,8 @@ from .common import maybe_broadcast, small_batches, text_or_empty, written
 from .graph import components
 from .hashing import U, mixed, shingle_set
 
-#: Bands and MinHash values in a band: a pair of similarity 0.8 shares no band with probability 2e-6, one of 0.85 1e-8.
+#: Bands and MinHash values in a band: a pair of similarity 0.8 shares no band with probability 2e-6, one of 0.85 1e-8;
+#: very small sets with more (README).
 BANDS, ROWS = 32, 5
 #: Samples and bits of an odd sketch. A set of at most WHOLE shingles is its own sample.
 SAMPLES, BITS, WHOLE = 4096, 4096, 2048
@@ -36,6 +37,12 @@ def _donors() -> np.ndarray:
     return np.random.Generator(np.random.PCG64(11)).integers(0, BANDS * ROWS, (64, BANDS * ROWS))
 
 
+@lru_cache(maxsize=1)
+def _last_donors() -> np.ndarray:
+    r = np.random.Generator(np.random.PCG64(12))
+    return np.array([r.permutation(BANDS * ROWS) for _ in range(BANDS * ROWS)])
+
+
 def _minima(h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """One-permutation MinHash of a sorted set: the place of the least value of each of k equal ranges, and which have one."""
     at = np.searchsorted(h, _edges(k))
@@ -43,7 +50,7 @@ def _minima(h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def band_keys(h: np.ndarray) -> np.ndarray:
-    """A key for each band; an empty range borrows from others that a fixed random table names."""
+    """A key for each band; an empty range borrows from others that a fixed random table names, in the end from any."""
     at, full = _minima(h, BANDS * ROWS)
     value = h[np.minimum(at, len(h) - 1)]
     got = full.copy()
@@ -53,7 +60,10 @@ def band_keys(h: np.ndarray) -> np.ndarray:
         need = ~got & full[donors]
         value[need] = value[donors[need]]
         got |= need
-    value[~got] = h[0]
+    empty = np.flatnonzero(~got)
+    if len(empty):  # very small sets
+        order = _last_donors()[empty]
+        value[empty] = value[order[np.arange(len(empty)), full[order].argmax(1)]]
     v = value.reshape(BANDS, ROWS)
     key = np.arange(BANDS, dtype=U) + U(1)
     for r in range(ROWS):

@@ -405,6 +405,15 @@ def test_near_dedup_blocks(spark, monkeypatch):
     assert got == brute_components(rows, 3, 85)
 
 
+def test_tiny_sets_share_a_band():
+    """Sets of 4 and 5 shingles, similarity 0.8."""
+    r = np.random.default_rng(3)
+    missed = 0
+    for h in r.integers(0, 1 << 63, (8000, 5), dtype=np.uint64) * np.uint64(2):
+        missed += not (near_dedup.band_keys(np.sort(h[:4])) == near_dedup.band_keys(np.sort(h))).any()
+    assert missed == 0
+
+
 def test_estimates_are_close():
     r = random.Random(1)
     for n in (100, 1500, 6000):
