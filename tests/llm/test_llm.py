@@ -426,6 +426,18 @@ def test_estimates_are_close():
         assert abs(near_dedup.estimate(ones, k, m, len(x), len(y), 85) - exact) < 0.02
 
 
+@pytest.mark.parametrize("n, margin", [(2048, "WHOLE_MARGIN"), (2100, "MARGIN")])
+def test_margins_are_five_deviations(n, margin):
+    """At the sizes where the estimates scatter most; similarity 0.8."""
+    r, off = np.random.default_rng(4), []
+    common = round(2 * n * 0.8 / 1.8)
+    for _ in range(300):
+        h = r.integers(0, 1 << 63, 2 * n - common, dtype=np.uint64) * np.uint64(2)
+        (s, k), (t, m) = near_dedup.odd_sketch(np.sort(h[:n])), near_dedup.odd_sketch(np.sort(h[n - common :]))
+        off.append(near_dedup.estimate(np.bitwise_count(s.view(np.uint64) ^ t.view(np.uint64)).sum(), k, m, n, n, 80) - common / (2 * n - common))
+    assert getattr(near_dedup, margin) >= 5 * np.std(off)
+
+
 def test_components(spark):
     links = [(k + 1, k) for k in range(50)] + [(100, 100), (None, 3), *[(200, 201 + k) for k in range(30)]]
     got = dict(tuple(x) for x in components(spark.createDataFrame(links, "a long, b long")).collect())
