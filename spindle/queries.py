@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .functions.code_tokens import split_edit_prompt, topic_tokens
@@ -298,9 +299,10 @@ def extract_triplets(spark, d):
 f AS (SELECT *, floor(x) AS whole, x - floor(x) AS frac FROM e)
 SELECT lang, (whole + CASE WHEN row_number() OVER (ORDER BY frac DESC, lang) <= 1000 - sum(whole) OVER () THEN 1 ELSE 0 END)::BIGINT AS target FROM f""")
 def largest_remainder(spark, d):
-    g = _docs(spark, d).groupBy("lang").count().orderBy("lang").limit(1000).collect()  # shares of a configuration
-    n = sum(r["count"] for r in g)
-    return spark.createDataFrame([(r.lang, t) for r, t in zip(g, mix.largest_remainder([r["count"] / n for r in g], 1000))], "lang string, target long")
+    every = Window.partitionBy()  # of one row per language
+    x = _docs(spark, d).groupBy("lang").count().withColumn("x", F.col("count") * 1000.0 / F.sum("count").over(every)).withColumn("whole", F.floor("x"))
+    spare = F.row_number().over(Window.orderBy(F.desc(F.col("x") - F.col("whole")), F.asc_nulls_last("lang"))) <= 1000 - F.sum("whole").over(every)
+    return x.select("lang", (F.col("whole") + F.when(spare, 1).otherwise(0)).cast("long").alias("target"))
 
 
 @query("SELECT 'first' AS name, doc_id FROM (SELECT doc_id FROM documents ORDER BY md5('42:first:' || doc_id), doc_id LIMIT 120) UNION ALL SELECT 'second', doc_id FROM (SELECT doc_id FROM documents ORDER BY md5('42:second:' || doc_id), doc_id LIMIT 80)")

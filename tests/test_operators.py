@@ -137,6 +137,15 @@ def test_largest_remainder():
             mix.largest_remainder(bad, 10)
 
 
+def test_largest_remainder_of_many_groups(spark, tmp_path):
+    """More groups than rows to share out, and a null one."""
+    rows = [(i, None if i == 0 else f"l{i % 1500:04d}") for i in range(4499)]
+    spark.createDataFrame(rows, "doc_id long, lang string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = {r.lang: r.target for r in queries.QUERIES["largest_remainder"](spark, f"file://{tmp_path}").collect()}
+    assert len(got) == 1501 and sum(got.values()) == 1000
+    assert {k for k, n in got.items() if n} == {f"l{i:04d}" for i in range(1, 1001)}
+
+
 def test_mixing(spark):
     rows = [(i, ["a", "b"], ["s"], "old", "new", "" if i == 0 else "d", "l") for i in range(10)]
     df = spark.createDataFrame(rows, "row_id long, commit array<string>, code_snippet array<string>, code_before_purify string, code_after_purify string, instruct_descriptive_purify string, instruct_lazy_purify string")
