@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from .common import small_batches, text_or_empty
 from .hashing import BASE, U, grams, mixed, words
 
-#: Words of the shortest item that is searched.
-LEAST_WORDS = 3
 #: Score of equal words, other words, and a gap; an alignment counts from this share of the item's own score.
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
@@ -52,6 +50,7 @@ class Items:
     def __init__(self, ids: list[int], texts: list[str]):
         self.ids, self._least = ids, None
         self.words = [words(t) for t in texts]
+        self.single = any(len(w) == 1 for w in self.words)
         pairs = [_pairs_of(w) for w in self.words]
         seed = np.concatenate([np.zeros(0, U), *pairs])
         item = np.repeat(np.arange(len(pairs)), [len(x) for x in pairs])
@@ -66,9 +65,9 @@ class Items:
 
 
 def _pairs_of(w: np.ndarray) -> np.ndarray:
-    """The seeds of an item: neighbouring words; of three words, the outer two as well."""
-    if len(w) < LEAST_WORDS:
-        return np.zeros(0, U)
+    """The seeds of an item: neighbouring words; of three words, the outer two as well; of one, the word."""
+    if len(w) == 1:
+        return grams(w, 1)
     return np.concatenate([grams(w, 2), grams(w[::2], 2)]) if len(w) == 3 else grams(w, 2)
 
 
@@ -103,9 +102,9 @@ def align(text_words: np.ndarray, items: Items, finder: _Finder, least_score: fl
     """Hits of one document: ``(item place, score share, begin, end)`` in words."""
     if not len(finder.digests):
         return []
-    near, far = grams(text_words, 2), mixed(text_words[:-2] * BASE + text_words[2:])
-    at_near, at_far = finder.places(near), finder.places(far)
-    g, where = np.concatenate([near[at_near], far[at_far]]), np.concatenate([at_near, at_far])
+    runs = [grams(text_words, 2), mixed(text_words[:-2] * BASE + text_words[2:]), *([grams(text_words, 1)] if items.single else [])]
+    found = [finder.places(g) for g in runs]
+    g, where = np.concatenate([g[at] for g, at in zip(runs, found)]), np.concatenate(found)
     lo, hi = np.searchsorted(items.seed, g, "left"), np.searchsorted(items.seed, g, "right")
     times = hi - lo
     which = items.item[np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
@@ -144,8 +143,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     alignment accepts is passed over. The items go to every worker, and nothing is shuffled.
 
     The test items are a stated query set: blocks of ``block_items`` of them are compared with all documents, one block
-    after another, so what goes to the workers is bounded. Items of fewer than three words are not
-    searched. Null texts are empty; null item ids are kept as null; rows that repeat are compared alike; with no documents
+    after another, so what goes to the workers is bounded. Items of one or two words count where
+    all their words stand as a seed does. Null texts are empty; null item ids are kept as null; rows that repeat are compared alike; with no documents
     or no items there are no rows; extra columns are not read.
     """
     spark = docs.sparkSession

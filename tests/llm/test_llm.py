@@ -240,6 +240,14 @@ def test_decontaminate_finds_what_the_alignment_accepts(spark, copies):
     assert all(want[k, k // 14] > 0.6 for k in fourth)
 
 
+def test_decontaminate_short_items(spark):
+    bench = spark.createDataFrame([(1, "Lone"), (2, "two words"), (3, " "), (4, None)], "item_id long, text string")
+    df = table(spark, [(10, "lone", None), (11, "a b lone c", None), (12, "TWO words", None), (13, "x two y words", None), (14, "words two", None), (15, "two", None), (16, "", None), (17, None, None)])
+    got = {(x.doc_id, x.item_id, x.score) for x in decontaminate.find_leaks(df, bench).collect()}
+    assert got == {(10, 1, 1.0), (11, 1, 1.0), (12, 2, 1.0), (13, 2, 0.75)}
+    assert {x.doc_id for x in decontaminate.decontaminate(df, bench).collect()} == {14, 15, 16, 17}
+
+
 # ---- 7 ----
 
 
