@@ -77,6 +77,57 @@ def _rounded(items: Column, seed: Column) -> Column:
     return F.aggregate(items, F.struct(F.lit(None).cast(ITEM).alias("open"), F.array().cast(f"array<{ITEM}>").alias("done")).cast(_STATE), step)
 
 
+def _settled(items: Column, seed: Column) -> Column:
+    """Settles every item of a bounded array, the largest first, each against all that come after it as one unit.
+
+    The pivotal step is the same: words move between the item and the others together until the item's share is 0 or 1,
+    and the way is drawn so that each share keeps its mean. The others' shares rise by one part of what each lacks, or fall
+    by one part of what each has, so an affine map of the first shares, ``rise + keep * p``, tells them all. Only where the
+    others together can't take or give enough is an item drawn alone; so what is left over is about one of the smallest.
+    """
+    words = lambda it: it["p"] * it["size"]
+    one = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))  # noqa: E731  evaluates the value once
+    start = F.struct(F.lit(0.0).alias("rise"), F.lit(1.0).alias("keep"), F.aggregate(items, F.lit(0.0), lambda s, it: s + words(it)).alias("mass"), F.aggregate(items, F.lit(0.0), lambda s, it: s + it["size"]).alias("room"), F.array().cast(f"array<{ITEM}>").alias("done"))
+
+    def step(acc, it):
+        p = F.least(F.greatest(acc["rise"] + acc["keep"] * it["p"], F.lit(0.0)), F.lit(1.0))
+        room = acc["room"] - it["size"]
+        now = F.struct(p.alias("p"), F.least(F.greatest(acc["mass"] - p * it["size"], F.lit(0.0)), room).alias("mass"), room.alias("room"))
+        return one(now, lambda n: one(_drawn(n, it), lambda d: after(acc, it, n, d)))
+
+    def _drawn(n, it):
+        down, up = F.least(n["p"] * it["size"], n["room"] - n["mass"]), F.least((1.0 - n["p"]) * it["size"], n["mass"])
+        u = _uniform(seed, F.lit("unit"), it["doc_id"], it["h"])
+        moved = F.when(u * (down + up) < up, -down).otherwise(up)  # words to the item
+        alone = _uniform(seed, F.lit("alone"), it["doc_id"], it["h"])
+        near = n["p"] + moved / it["size"]
+        return F.struct(moved.alias("moved"), F.when(near < 1e-9, 0.0).when(near > 1 - 1e-9, 1.0).when(alone < near, 1.0).otherwise(0.0).alias("p"))
+
+    def after(acc, it, n, d):
+        gain = F.when(d["moved"] < 0, -d["moved"] / F.greatest(n["room"] - n["mass"], F.lit(1e-300))).otherwise(0.0)
+        loss = F.when(d["moved"] > 0, d["moved"] / F.greatest(n["mass"], F.lit(1e-300))).otherwise(0.0)
+        keep = F.least(F.greatest(1.0 - gain - loss, F.lit(0.0)), F.lit(1.0))
+        final = F.struct(*[(d["p"] if f == "p" else it[f]).alias(f) for f in ("h", "doc_id", "size", "whole", "p")])
+        return F.struct((keep * acc["rise"] + gain).alias("rise"), (keep * acc["keep"]).alias("keep"), (n["mass"] - d["moved"]).alias("mass"), n["room"].alias("room"), F.concat(acc["done"], F.array(final)).alias("done"))
+
+    kind = f"struct<rise:double,keep:double,mass:double,room:double,done:array<{ITEM}>>"
+    return F.aggregate(items, start.cast(kind), lambda acc, it: step(acc, it).cast(kind))["done"]
+
+
+#: Rows of one id and size that are numbered in one go.
+_ALIKE = 4096
+
+
+def _numbered(d: DataFrame) -> DataFrame:
+    """``d`` with ``k``, which tells rows of one id, source and size apart: copies of a row are counted, then dealt out in
+    blocks, so that one id with very many rows lies in no single task."""
+    counts = written(d.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n")), "alike")
+    few = counts.filter(F.col("n") <= _ALIKE).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).drop("n")
+    blocks = counts.filter(F.col("n") > _ALIKE).withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / _ALIKE)))).repartition("doc_id", "b")
+    many = blocks.withColumn("k", F.explode(F.sequence(F.col("b") * _ALIKE, F.least((F.col("b") + 1) * _ALIKE, F.col("n")) - 1))).drop("n", "b")
+    return few.unionByName(many)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0, seed: int = 42, fanout: int = FANOUT) -> DataFrame:
     """One row per document: ``doc_id, size, source, source_size, target, copies, taken``.
 
@@ -84,49 +135,53 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     source size; its whole part is certain and its fraction is rounded by pivotal sampling. Leaves of about ``fanout``
     documents of one source pair their fractions, move words between them at random until one is 0 or 1, and leave at
     most one open document each; the open ones of ``fanout`` leaves meet in the next node of a reduction tree, until one
-    is left in each source, which a draw settles. So a source's words differ from its target by less than one
-    document, and no task gathers more than a node, however large the source. Draws are hashes of the seed and the
-    pair: reruns agree.
+    is left in each source. One leaf of each source, ``fanout`` documents by hash, stays out of the tree: it takes up what
+    the last open document leaves over (:func:`_settled`), from its largest document to its smallest. So a source's words
+    differ from its target by about one of its small documents, unless one document outweighs that leaf. No task gathers
+    more than a node, however large the source. Draws are hashes of the seed and the pair: reruns agree.
 
     Null text has size 0; documents of size 0 take nothing. Null sources are one source, last in order. Repeated rows are
     documents of their own. An empty table gives no rows; extra columns are not read.
     """
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"))
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"))
     d = written(d, "sizes")
-    s = written(source_targets(d, weights, most).withColumn("n", F.lit(1)), "targets")
-    sources = s.count()
     counts = d.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"))
-    s = written(s.drop("n").join(counts, s.source.eqNullSafe(counts.source)).select(s.source, "source_size", "target", "n_docs", F.xxhash64(F.lit(seed), s.source, s.source.isNull()).alias("sid")), "sources")
-    joined = d.join(maybe_broadcast(s.withColumnRenamed("source", "__source"), sources, 100_000), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    s = source_targets(d, weights, most)
+    s = written(s.join(counts, s.source.eqNullSafe(counts.source)).select(s.source, "source_size", "target", "n_docs", F.xxhash64(F.lit(seed), s.source, s.source.isNull()).alias("sid")), "sources")
+    sources = s.count()
+    joined = _numbered(d).join(maybe_broadcast(s.withColumnRenamed("source", "__source"), sources, 100_000), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.when(F.col("size") > 0, F.floor(share + 1e-9)).otherwise(0).cast("long")
     p = F.when(F.col("size") > 0, F.greatest(F.lit(0.0), share - whole)).otherwise(0.0)
-    h = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"))
-    joined = joined.select("doc_id", "source", "size", "source_size", "target", "n_docs", "sid", F.struct(h.alias("h"), F.col("doc_id").cast("long").alias("doc_id"), F.col("size"), whole.alias("whole"), F.when(p > 1e-9, p).otherwise(0.0).alias("p")).alias("it"))
+    h = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"), F.col("k"))
+    item = F.struct(h.alias("h"), "doc_id", "size", whole.alias("whole"), F.when(p > 1e-9, p).otherwise(0.0).alias("p"))
+    joined = joined.select("doc_id", "source", "size", "source_size", "target", "n_docs", "sid", item.alias("it"))
     fixed = joined.filter("it.p = 0").select("doc_id", "size", "source", "source_size", "target", F.col("it.whole").alias("copies"))
     leaves = F.ceil(F.col("n_docs") / F.lit(fanout)).cast("long")
-    level = joined.filter("it.p > 0").select("sid", F.pmod("it.h", leaves).alias("node"), "it")
+    dealt = written(joined.filter("it.p > 0").select("sid", F.pmod("it.h", leaves).alias("node"), "it"), "dealt")
+    last, level = dealt.filter("node = 0").select("sid", "it"), dealt.filter("node > 0")
     widest = s.agg(F.max(F.ceil(F.col("n_docs") / fanout))).first()[0] or 1
-    settled = None
-    depth = 0
-    while True:
+    # Node numbers go up to ``top``; the level of node 0 alone ends the tree.
+    settled, top, depth = None, widest - 1, 0
+    while top > 0 or depth:
         nodes = level.groupBy("sid", "node").agg(F.sort_array(F.collect_list("it")).alias("items"))
         nodes = written(nodes.select("sid", "node", _rounded(F.col("items"), F.lit(seed + depth)).alias("r")), f"level{depth}")
         part = nodes.select("sid", F.explode("r.done").alias("it"))
         settled = part if settled is None else settled.unionByName(part)
         level = nodes.filter("r.open is not null").select("sid", F.floor(F.col("node") / fanout).cast("long").alias("node"), F.col("r.open").alias("it"))
-        depth += 1
-        if widest <= 1:
+        if top == 0:
             break
-        widest = -(-widest // fanout)
-    last = level.withColumn("it", F.struct("it.h", "it.doc_id", "it.size", "it.whole", F.when(_uniform(F.lit(seed), F.lit("last"), F.col("sid")) < F.col("it.p"), 1.0).otherwise(0.0).alias("p")))
-    settled = settled.unionByName(last.select("sid", "it"))
+        top, depth = top // fanout, depth + 1
+    by_size = lambda a, b: F.when(a["size"] != b["size"], F.when(a["size"] > b["size"], -1).otherwise(1)).when(a["h"] != b["h"], F.when(a["h"] < b["h"], -1).otherwise(1)).otherwise(0)
+    ends = last.unionByName(level.select("sid", "it")).groupBy("sid").agg(F.array_sort(F.collect_list("it"), by_size).alias("items"))
+    ends = written(ends.select("sid", _settled(F.col("items"), F.lit(seed)).alias("done")), "ends")
+    part = ends.select("sid", F.explode("done").alias("it"))
+    settled = part if settled is None else settled.unionByName(part)
     by_source = s.withColumnRenamed("sid", "__sid")
     rounded = settled.join(maybe_broadcast(by_source, sources, 100_000), F.col("sid") == F.col("__sid")).select(
         F.col("it.doc_id").alias("doc_id"), F.col("it.size").alias("size"), "source", "source_size", "target", (F.col("it.whole") + F.round("it.p").cast("long")).alias("copies")
     )
-    out = fixed.withColumn("doc_id", F.col("doc_id").cast("long")).unionByName(rounded)
-    return out.withColumn("taken", F.col("copies") * F.col("size"))
+    return fixed.unionByName(rounded).withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def apply_mix(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
