@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_or_empty
+from .common import slices, text_or_empty
 from .hashing import BASE, U, grams, mixed, words
 
 #: Score of equal words, other words, and a gap; an alignment counts from this share of the item's own score.
@@ -148,14 +148,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     or no items there are no rows; extra columns are not read.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     out = spark.createDataFrame([], _HIT)
     for items in _item_blocks(benchmark, item_col, item_text_col, block_items):
         find = _finder(d, items, least_score)
 
         def hits(batches: Iterator[pa.RecordBatch], find=find, ids=items.ids) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 rows = [(doc, ids[i], score, a, b) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for i, score, a, b in find(text)]
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], ["doc_id", "item_id", "score", "begin", "end"])
@@ -191,13 +190,12 @@ def _finder(d: DataFrame, items: Items, least_score: float) -> Callable[[str], l
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least_score: float = LEAST_SCORE, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """The rows of ``docs`` that hold no test item, with all columns: each is judged where it lies, and nothing is joined."""
-    small_batches(docs.sparkSession)
     d, at = docs.select(text_or_empty(text_col).alias("text")), docs.columns.index(text_col)
     for items in _item_blocks(benchmark, item_col, item_text_col, block_items):
         find = _finder(d, items, least_score)
 
         def clean(batches: Iterator[pa.RecordBatch], find=find) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 yield batch.filter(pa.array([not find(t or "") for t in batch.column(at).to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(clean, docs.schema)

@@ -8,8 +8,10 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Pieces that one worker remembers, and the longest piece that it remembers.
-REMEMBERED, LONGEST = 1_000_000, 64
+#: Bytes that one worker's remembered pieces may take, over all its encoders, and the longest piece that is remembered.
+REMEMBERED, LONGEST = 40 << 20, 64
+#: Bytes of a dictionary's entry besides its text and ids.
+_ENTRY = 190
 
 # What counts as white space somewhere, but for the space and the line end.
 _OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
@@ -33,6 +35,20 @@ def _unsafe(text: str) -> bool:
     return text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or bool(_OTHER_SPACE.search(text))
 
 
+class _Room:
+    """What is left of the bytes for remembered pieces."""
+
+    left = REMEMBERED
+
+    @classmethod
+    def take(cls, piece: str, ids: bytes) -> bool:
+        need = _ENTRY + len(piece) + len(ids)
+        if len(piece) > LONGEST or need > cls.left:
+            return False
+        cls.left -= need
+        return True
+
+
 class _Pieces(dict):
     """Ids of pieces that stand behind ``lead``; a piece that isn't there yet is encoded, and kept while there is room."""
 
@@ -47,7 +63,7 @@ class _Pieces(dict):
             ids = (self[word] if marks in e.common else e.token(self.start, word)) + e.marks[marks] if marks else e.token(self.start, word)
         else:
             ids = e.whole(self.lead + piece)
-        if len(self) < REMEMBERED and len(piece) <= LONGEST:
+        if _Room.take(piece, ids):
             self[piece] = ids
         return ids
 
@@ -59,11 +75,20 @@ class _Marks(dict):
 
     def __missing__(self, marks: str) -> bytes:
         ids = self.encoder.token("", marks)
-        if len(self) < REMEMBERED // 100 and len(marks) <= LONGEST:
+        if _Room.take(marks, ids):
             self[marks] = ids
         return ids
 
 
+def _by_byte_level(t) -> bool:
+    """Whether a tokenizer is plain byte-level BPE, the only kind that may be fed piece by piece."""
+    from tokenizers import models, pre_tokenizers
+
+    m, pre = t.model, t.pre_tokenizer
+    plain = isinstance(m, models.BPE) and not (m.dropout or m.unk_token or m.continuing_subword_prefix or m.end_of_word_suffix or m.byte_fallback or m.ignore_merges)
+    return plain and t.normalizer is None and isinstance(pre, pre_tokenizers.ByteLevel) and not pre.add_prefix_space and pre.use_regex
+
+
 class Encoder:
     """Ids of whole texts as little-endian uint32 bytes, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
@@ -71,23 +96,27 @@ class Encoder:
     characters that are no white space: a space goes with what follows, a line end stands alone. So such a text is cut
     there, each distinct piece goes through the library once, and its ids are remembered. Pieces of letters and marks go
     to the library's model, as its pre-tokenizer would hand them on, the rest through the whole tokenizer. A text with any
-    other white space next to a space or line end, or with an added token's string, goes through the tokenizer whole.
+    other white space next to a space or line end, or with an added token's string, goes through the tokenizer whole, and
+    so does every text where the file is no plain byte-level BPE.
     """
 
     common = (".", ",")
 
-    def __init__(self, path: str, special_as_text: bool = False):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = special_as_text
-        self.added = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.by_piece = _by_byte_level(self.tokenizer)
         self.tokenize, self.letters = self.tokenizer.model.tokenize, _byte_letters()
         self.newline = self.whole("\n")
         self.marks = _Marks(self)
         self.begins, self.follows = _Pieces(self, ""), _Pieces(self, " ")
 
-    def whole(self, text: str) -> bytes:
+    def whole(self, text: str, special_as_text: bool = False) -> bytes:
+        self.tokenizer.encode_special_tokens = special_as_text
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def token(self, start: str, word: str) -> bytes:
@@ -95,25 +124,32 @@ class Encoder:
         seen = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.tokenize(start + seen)]).tobytes()
 
-    def __call__(self, text: str) -> bytes:
+    def __call__(self, text: str, special_as_text: bool = False) -> bytes:
+        """With ``special_as_text``, the string of a special token is ordinary text."""
         if not text:
             return b""
-        if _unsafe(text) or any(a in text for a in self.added):
-            return self.whole(text)
+        if not self.by_piece or _unsafe(text) or any(a in text for a in self.added):
+            return self.whole(text, special_as_text)
         out, begin, follow = [], self.begins.__getitem__, self.follows.__getitem__
         for line in text.split("\n"):
             pieces = line.split(" ")
             out.append(begin(pieces[0]) + b"".join(map(follow, pieces[1:])))
         return self.newline.join(out)
 
-    def batch(self, texts: list[str]) -> list[bytes]:
-        return [self(t) for t in texts]
+    @property
+    def largest(self) -> int:
+        return max(self.tokenizer.get_vocab_size(with_added_tokens=False) - 1, *self.added.values(), 0)
+
+    def is_produced(self, token: int) -> bool:
+        """Whether ordinary text can give this id: no special token and within the vocabulary."""
+        return token not in self.added.values() and self.tokenizer.id_to_token(token) is not None
 
 
-@lru_cache(maxsize=4)
-def encoder(path: str, special_as_text: bool = False) -> Encoder:
-    """One per worker and setting."""
-    return Encoder(path, special_as_text)
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One per worker; that of another file takes its place."""
+    _Room.left = REMEMBERED
+    return Encoder(path)
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 U = np.uint64
@@ -13,16 +15,20 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: A random value for each byte.
 _BYTE = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
 
+#: Powers that are kept; a longer text gets its own, which are freed after it.
+KEPT_POWERS = 1 << 20
 _powers = {_BASE: np.ones(1, U), _INVERSE: np.ones(1, U)}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 to base**(n-1); the table grows with the longest text seen."""
+    """base**0 to base**(n-1); the table grows with the texts seen, up to ``KEPT_POWERS``."""
     have = _powers[base]
     if len(have) < n:
-        have = np.full(max(n, 2 * len(have)), base, U)
+        have = np.full(n if n > KEPT_POWERS else min(max(n, 2 * len(have)), KEPT_POWERS), base, U)
         have[0] = 1
-        _powers[base] = have = np.multiply.accumulate(have)
+        have = np.multiply.accumulate(have)
+        if len(have) <= KEPT_POWERS:
+            _powers[base] = have
     return have[:n]
 
 
@@ -53,9 +59,27 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def words(text: str) -> np.ndarray:
     """A hash for each word ``[^\\x20\\x09-\\x0D]+`` of a text, A-Z lower-cased."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8)
-    start, end = word_bounds(data)
-    return ranges(prefix_sums(data), start, end)
+    whole = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8)
+    out = []
+    for data in _pieces(whole):
+        start, end = word_bounds(data)
+        out.append(ranges(prefix_sums(data), start, end))
+    return out[0] if len(out) == 1 else np.concatenate([np.zeros(0, U), *out])
+
+
+def _pieces(data: np.ndarray, size: int = KEPT_POWERS // 2) -> Iterator[np.ndarray]:
+    """Parts of a text of about ``size`` bytes, cut at white space: hashing takes many times the memory of its text."""
+    at = 0
+    while len(data) - at > size:
+        end = at + size
+        while end < len(data) and not (gap := _SPACE[data[end : end + size]]).any():
+            end += size
+        if end >= len(data):
+            break
+        end += int(gap.argmax())
+        yield data[at:end]
+        at = end
+    yield data[at:]
 
 
 def grams(w: np.ndarray, n: int) -> np.ndarray:

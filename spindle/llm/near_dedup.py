@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, small_batches, text_or_empty, written
+from .common import maybe_broadcast, slices, text_or_empty, written
 from .graph import components
 from .hashing import U, mixed, shingle_set
 
@@ -109,7 +109,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     """Per row of ``doc_id, text``: ``doc_id, n, set_hash, bands, sketch, k``; null beyond ``n`` where the set is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ns, hashes, bands, sketches, ks = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 h = shingle_set(text, words)
@@ -136,7 +136,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_b, set_b = None, None
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for b, text_a, text_b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
                 if b != last_b:
@@ -204,7 +204,7 @@ def _block_pairs(rest: DataFrame, percent: int, forest: bool) -> DataFrame:
         def out(pairs):
             return pa.RecordBatch.from_pydict({"a": pa.array([int(p[0]) for p in pairs], pa.int64()), "b": pa.array([int(p[1]) for p in pairs], pa.int64())})
 
-        for batch in batches:
+        for batch in slices(batches):
             pairs = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and held[-1][:3] != row[:3]:
@@ -235,7 +235,6 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     same result, and a row without an id stays alone, with null ``component_id``, and is kept. An empty table gives no
     rows; extra columns are not read.
     """
-    small_batches(docs.sparkSession)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     sigs = written(signatures(d, words), "signatures")
     named = sigs.filter("n > 0 and doc_id is not null")

@@ -9,13 +9,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_or_empty
+from .common import slices, text_or_empty, written
 
-#: Hashed features; and the most labelled rows that the fit reads, the documented bound of its sample.
-BUCKETS, MOST_ROWS = 1 << 20, 16_000
+#: Hashed features; and the most labelled rows and features of rows that the fit takes, the documented bounds of its sample.
+BUCKETS, MOST_ROWS, MOST_FEATURES = 1 << 20, 16_000, 12_000_000
+#: Words that a task remembers, none longer than LONGEST: at most some 250 bytes each.
+REMEMBERED, LONGEST = 120_000, 64
 
 _CORE = re.compile(r"[^\W\d_]+")
 _STEM = 4
@@ -27,7 +30,9 @@ def grades(quality: str = "quality", toxic: str = "toxic") -> Column:
 
 
 def _shape(word: str) -> str:
-    if not word[-1].isalnum() and word[-1] not in ".,;:!?)\"'" or word[-2:] == "!!" or word == "|":
+    """``mark`` for a word that ends in a symbol which ends no sentence, or twice in the same mark; ``caps``; or ``plain``."""
+    last = word[-1]
+    if not last.isalnum() and (last not in ".,;:!?)\"'" or word[-2:-1] == last):
         return "mark"
     return "caps" if len(word) > 1 and word.isupper() else "plain"
 
@@ -58,7 +63,7 @@ def features(text: str, seen: dict[str, tuple], keep: Container[int] | None = No
         if got is None:
             shape, *names = _named(t)
             got = (shape, tuple(b for b in map(_bucket, names) if keep is None or b in keep))
-            if len(seen) < 500_000:
+            if len(seen) < REMEMBERED and len(t) <= LONGEST:
                 seen[t] = got
         odd[got[0]] += 1
         if got[1]:
@@ -84,13 +89,14 @@ class OrdinalModel:
         return sum(w[b] for b in sorted(features(text, seen, w)))
 
 
-def fit_arrays(rows: list[np.ndarray], grade: np.ndarray, steps: int = 300, rate: float = 0.5, l1: float = 1e-4, least: int = 4, least_z: float = 6.0) -> OrdinalModel:
+def fit_arrays(rows: list[np.ndarray], grade: np.ndarray, steps: int = 300, rate: float = 0.5, l1: float = 1e-4, least: int = 4, least_z: float = 6.0, most: float = 0.0) -> OrdinalModel:
     """Full-batch proximal AdaGrad on the cumulative-link loss, with a small L1 penalty.
 
     Only features take part whose share of rows differs between a grade and the others by ``least_z`` standard errors or
     more, in at least ``least`` rows: chance alone hardly does that, even among a million buckets. Thresholds stay in
-    order, as their gaps are exponentials. Weights are at most 0: features tell faults, so a short text without any gets
-    the best score, whatever common words it lacks.
+    order, as their gaps are exponentials. Weights are at most ``most``, 0 unless told otherwise: features tell faults, so
+    a short text without any gets the best score, whatever common words it lacks. Both choices are those of the least loss
+    on held-out ratings (README).
     """
     grade = np.asarray(grade, np.int64)
     kinds = np.unique(grade)
@@ -137,7 +143,7 @@ def fit_arrays(rows: list[np.ndarray], grade: np.ndarray, steps: int = 300, rate
             acc += grad**2
             x -= rate * grad / np.sqrt(acc)
             if x is w:
-                x[:] = np.minimum(x + rate * l1 / np.sqrt(acc), 0)
+                x[:] = np.minimum(np.sign(x) * np.maximum(np.abs(x) - rate * l1 / np.sqrt(acc), 0), most)
     theta = first[0] + np.concatenate([[0], np.cumsum(np.exp(gaps))])
     # P(grade <= k) changes only at grades that occur.
     thresholds = [theta[np.searchsorted(kinds, k, "right") - 1] if kinds[0] <= k < kinds[-1] else (-30.0 if k < kinds[0] else 30.0) for k in range(top)]
@@ -145,28 +151,31 @@ def fit_arrays(rows: list[np.ndarray], grade: np.ndarray, steps: int = 300, rate
     return OrdinalModel(dict(zip(index[some].tolist(), w[some].tolist())), tuple(float(t) for t in thresholds))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade: Column | None = None, most_rows: int = MOST_ROWS, seed: int = 42) -> OrdinalModel:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade: Column | None = None, most_rows: int = MOST_ROWS, most_features: int = MOST_FEATURES, seed: int = 42) -> OrdinalModel:
     """Fits on at most ``most_rows`` rated documents, the first in order of a hash of id and seed.
 
-    Executors hash the features; the driver gets bucket numbers of the bounded sample only. Rows without a rating, an id
-    or a document don't count; null text is empty; of several ratings of a document each counts.
+    Executors hash the features; the driver gets bucket numbers of the bounded sample only, and of its rows in that order
+    no more than have ``most_features`` together. Rows without a rating, an id or a document don't count; null text is
+    empty; of several ratings of a document each counts.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
     rated = labels.select(F.col(id_col).alias("__id"), (grades() if grade is None else grade).cast("int").alias("__grade")).filter("__id is not null and __grade is not null")
-    sample = rated.orderBy(F.xxhash64(F.lit(seed), "__id"), "__id", "__grade").limit(most_rows)
-    d = docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("text")).join(F.broadcast(sample), "__id").select("__id", "text", "__grade")
+    place = F.xxhash64(F.lit(seed), "__id")
+    sample = rated.select(place.alias("__place"), "__id", "__grade").orderBy("__place", "__id", "__grade").limit(most_rows)
+    d = docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("text")).join(F.broadcast(sample), "__id").select("__place", "__id", "text", "__grade")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict = {}
-        for batch in batches:
-            found = [sorted(features(t, seen)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int32()))], ["id", "grade", "features"])
+        for batch in slices(batches):
+            found = pa.array([sorted(features(t, seen)) for t in batch.column(2).to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pc.list_value_length(found), found], ["place", "id", "grade", "n", "features"])
 
-    got = d.mapInArrow(hashed, "id long, grade int, features array<int>").toArrow()
-    order = np.lexsort((got["grade"].to_numpy(), got["id"].to_numpy()))
-    lists, grade_of = got["features"].combine_chunks() if got.num_rows else None, got["grade"].to_numpy()
-    return fit_arrays([np.asarray(lists[int(i)].values, np.int64) for i in order], grade_of[order])
+    rows = written(d.mapInArrow(hashed, "place long, id long, grade int, n int, features array<int>"), "features")
+    order = Window.orderBy("place", "id", "grade", "n")  # of most_rows rows
+    first = rows.withColumn("before", F.sum("n").over(order) - F.col("n")).filter(F.col("before") + F.col("n") <= most_features)
+    got = first.orderBy("place", "id", "grade", "n").select("grade", "features").toArrow()
+    lists = got["features"].combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int32()))
+    flat, ends = np.asarray(lists.flatten()), np.cumsum(np.asarray(pc.list_value_length(lists)), dtype=np.int64)
+    return fit_arrays(np.split(flat, ends[:-1]) if len(ends) else [], got["grade"].to_numpy())
 
 
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
@@ -175,13 +184,12 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
     ``p_top`` is the probability of the top grade, the tail that selects: a document is kept from ``least`` on. Null text
     is empty; rows that repeat are scored alike; an empty table gives no rows; extra columns are not read.
     """
-    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, seen = sent.value, {}
         theta = np.array(m.thresholds)
-        for batch in batches:
+        for batch in slices(batches):
             s = np.array([m.score(t, seen) for t in batch.column(1).to_pylist()])
             above = 0.5 * (1 - np.tanh((theta[None, :] - s[:, None]) / 2))  # P(grade > k)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(above.sum(1)), pa.array(above[:, -1]), pa.array(above[:, -1] >= least)], ["doc_id", "expected_grade", "p_top", "kept"])
@@ -192,12 +200,11 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
 
 def select(docs: DataFrame, model: OrdinalModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that the model keeps, with all columns: each is judged where it lies, and nothing is joined."""
-    small_batches(docs.sparkSession)
     sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, seen = sent.value, {}
-        for batch in batches:
+        for batch in slices(batches):
             s = np.array([m.score(t or "", seen) for t in batch.column(at).to_pylist()])
             yield batch.filter(pa.array(0.5 * (1 - np.tanh((m.thresholds[-1] - s) / 2)) >= least, pa.bool_()))
 

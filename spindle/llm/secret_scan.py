@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_or_empty
+from .common import slices, text_or_empty
 
 # Fixed values of the base rules.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -92,11 +92,10 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Null text counts as empty and has no spans; rows that repeat are scanned alike; extra columns are not read.
     """
-    small_batches(docs.sparkSession)
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [[dict(zip(("kind", "start", "end"), s)) for s in scan(t)] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(span))], ["doc_id", "spans"])
 

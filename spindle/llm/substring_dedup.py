@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_or_empty, written
+from .common import slices, text_or_empty, written
 from .hashing import U, prefix_sums, ranges
 
 #: Bytes of text that one task sorts at a time, but for a larger single group.
@@ -116,7 +116,7 @@ def _sorted_shards(contexts: DataFrame, length: int, keep_first: bool) -> DataFr
         size = 0
         names = ["doc_id", "rid", "begin", "finish"]
         emit = lambda found: pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in range(4)], names)
-        for batch in batches:
+        for batch in slices(batches):
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if size >= SHARD_BYTES and held[-1][0] != row[0]:
                     yield emit(settle(held))
@@ -133,7 +133,7 @@ def _counted_windows(contexts: DataFrame, length: int, keep_first: bool) -> Data
     """The same for groups of any size: digests of single windows, counted with map-side combining."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for _, doc, rid, start, n, data in zip(*(c.to_pylist() for c in batch.columns)):
                 sha = [hashlib.blake2b(data[i : i + length], digest_size=16).digest() for i in range(n)]
                 yield pa.RecordBatch.from_pydict({"digest": pa.array(sha, pa.binary()), "doc_id": pa.array([doc] * n, pa.int64()), "rid": pa.array([rid] * n, pa.int64()), "begin": pa.array(range(start, start + n), pa.int64())})
@@ -161,7 +161,7 @@ def repeated_ranges(docs: DataFrame, length: int = 400, keep_first: bool = False
     gram = gram or max(1, min(128, length // 3))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             cols: list[list] = [[], [], [], [], [], []]
             for doc, rid, text in zip(*(c.to_pylist() for c in batch.columns)):
                 data = np.frombuffer(text.encode(), np.uint8)
@@ -185,7 +185,7 @@ def repeated_ranges(docs: DataFrame, length: int = 400, keep_first: bool = False
     by_doc = needed.groupBy("doc_id", "rid").agg(F.collect_list(F.struct("fp", "kinds", "start", "n")).alias("needs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for doc, rid, text, needs in zip(*(c.to_pylist() for c in batch.columns)):
                 data = text.encode()
                 rows = [(x["fp"], x["kinds"], doc, rid, x["start"], x["n"], data[x["start"] : x["start"] + x["n"] + length - 1]) for x in needs]
@@ -214,13 +214,12 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     are copies of each other: all their strings are repeated, and without an order between them they are all cut alike.
     An empty table gives no rows; extra columns are not read.
     """
-    small_batches(docs.sparkSession)
     d = _prepared(docs, id_col, text_col)
     found = repeated_ranges(d.select("doc_id", "rid", "text"), length, keep_first, gram, group)
     cover = found.groupBy("doc_id", "rid").agg(F.array_sort(F.collect_set(F.struct("begin", "finish"))).alias("cover"))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc, text, cover in zip(*(c.to_pylist() for c in batch.columns)):
                 data, out, at, spans, removed, end = text.encode(), [], 0, 0, 0, -1

@@ -10,37 +10,46 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_or_empty, written
+from .common import slices, text_or_empty, written
 from .encode import encoder, tokenizer_path
 
 #: Ids in a block; blocks end anywhere, also within a document.
 BLOCK_IDS = 1 << 20
 
 
+def flat_dtype(tokenizer: str = "", end_id: int = 0) -> str:
+    """Little-endian uint16 where vocabulary and separator fit, else uint32."""
+    return "<u2" if max(encoder(tokenizer or tokenizer_path()).largest, end_id) < 1 << 16 else "<u4"
+
+
 def write_flat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", end_id: int = 50256, tokenizer: str = "", block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Flat files of little-endian uint16 ids, each document ended by ``end_id``, as rows ``part, block, data, doc_ids``.
+    """Flat files of little-endian ids (:func:`flat_dtype`), each document ended by ``end_id``, as rows ``part, block, data, doc_ids``.
 
     A file holds the documents of one input partition as they come; nothing is shuffled.
 
-    Special tokens' strings in a text are ordinary text, so ``end_id`` is a separator and nothing else. ``data`` is cut
+    Special tokens' strings in a text are ordinary text, so ``end_id`` is a separator and nothing else; an id that text
+    can give is refused. ``data`` is cut
     every ``block_ids`` ids, whatever lies there. ``doc_ids`` lists which documents follow each other in the part; it
     says nothing of where they begin. Null text is an empty document.
     """
-    small_batches(docs.sparkSession)
     path = tokenizer or tokenizer_path()
-    end = np.array([end_id], "<u2").tobytes()
+    if end_id < 0 or encoder(path).is_produced(end_id):
+        raise ValueError(f"{end_id} is no separator: texts hold it")
+    dtype = flat_dtype(path, end_id)
+    wide, end = np.dtype(dtype).itemsize, np.array([end_id], dtype).tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, data, names = TaskContext.get().partitionId(), 0, bytearray(), []
         row = lambda b: pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "data": [bytes(b)], "doc_ids": pa.array([names], pa.list_(pa.int64()))})
-        for batch in batches:
+        encoded = encoder(path)
+        for batch in slices(batches):
             names += batch.column(0).to_pylist()
-            for ids in encoder(path, True).batch(batch.column(1).to_pylist()):
-                data += np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+            for text in batch.column(1):
+                data += np.frombuffer(encoded(text.as_py(), True), "<u4").astype(dtype).tobytes()
                 data += end
-            while len(data) >= 2 * block_ids:
-                yield row(data[: 2 * block_ids])
-                del data[: 2 * block_ids]
+            while len(data) >= wide * block_ids:
+                yield row(data[: wide * block_ids])
+                del data[: wide * block_ids]
                 block, names = block + 1, []
         if data or names:
             yield row(data)
@@ -60,7 +69,7 @@ def separator_scan(blocks: DataFrame, end_id: int = 50256, dtype: str = "<u2") -
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 4):
             for part, block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 ids = np.frombuffer(data.as_py() or b"", dtype)
                 yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "n": [len(ids)], "seps": [np.flatnonzero(ids == end_id)]})
@@ -89,11 +98,11 @@ def separator_scan(blocks: DataFrame, end_id: int = 50256, dtype: str = "<u2") -
 def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", end_id: int = 50256, tokenizer: str = "", block_ids: int = BLOCK_IDS) -> DataFrame:
     """Writes ``docs`` as flat files and counts them by :func:`separator_scan`: ``doc_id, n_tokens``, without separators.
 
-    Rows that repeat are documents of their own; an empty table gives no rows; extra columns are not read. The files name
+    Rows that repeat are documents of their own, null ids stay null; an empty table gives no rows; extra columns are not read. The files name
     no documents: those of a file are listed beside it in order, and the scan's ordinals find them there.
     """
     blocks = write_flat(docs, id_col, text_col, end_id, tokenizer, block_ids)
-    found = separator_scan(blocks, end_id)
+    found = separator_scan(blocks, end_id, flat_dtype(tokenizer, end_id))
     before = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     names = blocks.select("part", "doc_ids", F.coalesce(F.sum(F.size("doc_ids")).over(before), F.lit(0)).cast("long").alias("first"))
     names = names.select("part", "first", F.posexplode("doc_ids").alias("k", "doc_id")).select("part", (F.col("first") + F.col("k")).alias("ordinal"), "doc_id")
