@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, slices, text_or_empty, written
+from .common import discard, maybe_broadcast, slices, text_or_empty, written
 from .graph import components
 from .hashing import U, mixed, shingle_set
 
@@ -24,8 +24,8 @@ SAMPLES, BITS, WHOLE = 4096, 4096, 2048
 #: How far an estimate may lie below the bound, five deviations at the worst size (0.0092 and 0.0043) and more: of samples,
 #: and of whole sets.
 MARGIN, WHOLE_MARGIN = 0.05, 0.025
-#: Members of a bucket that are compared in one task at a time.
-BLOCK = 1024
+#: Members of a bucket that one task compares with as many others at a time, and most pairs that it lists in a round.
+BLOCK, PORTION = 1024, 8192
 
 
 @lru_cache(maxsize=8)
@@ -130,46 +130,76 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose full shingle sets have 100 * intersection >= percent * union. ``pairs`` is a written table."""
+    """The pairs ``a, b`` whose full shingle sets have 100 * intersection >= percent * union. ``pairs`` is a written table.
+
+    Partners of one ``b`` come in lots of about BLOCK, each behind the text of ``b``: a document with very many partners
+    is dealt to many tasks, and its text is sent and hashed once a lot.
+    """
     ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
     texts = docs.join(maybe_broadcast(ids, ids.count()), "doc_id", "left_semi")
+    lots = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("lots"))
+    others = pairs.join(lots, "b").select("b", F.pmod(F.xxhash64("a"), F.col("lots")).cast("int").alias("lot"), F.col("a").alias("doc_id"))
+    own = lots.select("b", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot")).join(texts.withColumnRenamed("doc_id", "b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_b, set_b = None, None
+        set_b = np.zeros(0, U)
         for batch in slices(batches):
             keep = []
-            for b, text_a, text_b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
-                if b != last_b:
-                    last_b, set_b = b, shingle_set(text_b.as_py(), words)
-                set_a = shingle_set(text_a, words)
-                both = np.concatenate([set_a, set_b])
+            for b, a, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+                h = shingle_set(text.as_py(), words)
+                if a is None:
+                    set_b = h
+                    keep.append(False)
+                    continue
+                both = np.concatenate([h, set_b])
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * common >= percent * (len(both) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    rows = others.join(texts, "doc_id").select("b", "lot", F.col("doc_id").alias("a"), "text").unionByName(own.select("b", "lot", F.lit(None).cast("long").alias("a"), "text"))
+    return rows.repartition("b", "lot").sortWithinPartitions("b", "lot", F.asc_nulls_first("a")).mapInArrow(run, "a long, b long")
 
 
-def _block_pairs(rest: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Candidate pairs between components within the buckets of ``rest``: ``key, cid, component, n, bands, sketch, k, size``.
+def _runs(rest: DataFrame, percent: int) -> DataFrame:
+    """The members of open buckets, a row for each pair of blocks that a member is part of: ``key, lo, hi, mine`` and its own
+    columns.
 
-    A bucket is dealt in blocks of about BLOCK members and each pair of blocks is a run of rows that one task compares by
-    the sketches. A pair counts in the first band that it shares only. With ``forest``, a run gives a spanning forest of
-    the most similar pairs, not all.
+    Sizes are classed by powers of the bound, as sets of classes that aren't neighbours can't be near. The largest
+    component of a bucket and the rest are dealt apart, both in blocks of about BLOCK: blocks of the largest component meet
+    those of the rest only, so a bucket of very many copies and a few others costs one row each, and not one for each block.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rest = rest.withColumn("mine", F.pmod(F.xxhash64("cid"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rest = rest.select("key", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "cid", "component", "n", "k", "bands", "sketch")
+    step = -math.log(percent / 100)
+    size_class = F.floor(F.log(F.col("n")) / F.lit(step)) if step else F.col("n")
+    in_key = rest.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
+    d = rest.join(in_key, "key").withColumn("unit", (size_class * 2 + F.when(F.col("component") == F.col("main"), 0).otherwise(1)).cast("long"))
+    units = d.groupBy("key", "unit").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    other = units.select(F.col("key").alias("__key"), F.col("unit").alias("other"), F.col("blocks").alias("others"))
+    near = (F.abs(F.floor(F.col("unit") / 2) - F.floor(F.col("other") / 2)) <= 1) & ((F.col("unit") % 2 == 1) | (F.col("other") % 2 == 1))
+    partners = units.join(other, (F.col("key") == F.col("__key")) & near).drop("__key")
+    d = d.join(partners, ["key", "unit"]).withColumn("__block", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    code = lambda unit, block: F.shiftleft(F.col(unit), 31) + block
+    d = d.withColumn("mine", code("unit", F.pmod(F.xxhash64("cid"), F.col("blocks")))).withColumn("theirs", code("other", F.col("__block")))
+    return d.select("key", F.least("mine", "theirs").alias("lo"), F.greatest("mine", "theirs").alias("hi"), "mine", "cid", "component", "n", "k", "bands", "sketch")
+
+
+def _near_pairs(runs: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """Pairs between components that the sketches leave open, ``key, lo, hi, a, b, more``; each run is compared in one task.
+
+    A pair counts in the first band that it shares only. With ``forest``, a run gives a spanning forest of its most similar
+    pairs. Without, it gives the next PORTION pairs in order after ``after_a, after_b``; ``more`` tells that some may follow.
+    """
+
+    most = PORTION
 
-    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
+    def compare(rows: list[tuple]) -> list[tuple]:
         key, lo, hi = rows[0][:3]
         mine, cid, comp, n, k = (np.array([r[c] for r in rows]) for c in range(3, 8))
         bands, sketch = np.array([r[8] for r in rows]), np.array([r[9] for r in rows]).view(U)
-        found = []
-        for i in range(len(rows) - 1):
-            j = np.flatnonzero((comp[i + 1 :] != comp[i]) & ((mine[i + 1 :] != mine[i]) | (lo == hi)) & (100 * np.minimum(n[i + 1 :], n[i]) >= percent * np.maximum(n[i + 1 :], n[i]))) + i + 1
+        after, found = rows[0][10:12], []
+        for i in np.flatnonzero(mine == lo).tolist():
+            j = np.flatnonzero((mine == hi) & (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])))
+            j = j[j > i] if lo == hi else j
             if not len(j):
                 continue
             est = estimate(np.bitwise_count(sketch[j] ^ sketch[i]).sum(1), k[j], k[i], n[j], n[i], percent)
@@ -177,45 +207,51 @@ def _block_pairs(rest: DataFrame, percent: int, forest: bool) -> DataFrame:
             near = (whole != (n[i] <= WHOLE)) | (est >= percent / 100 - np.where(whole, WHOLE_MARGIN, MARGIN))
             j, est = j[near], est[near]
             if len(j):
-                shared = bands[j] == bands[i]
-                first = bands[i][shared.argmax(1)] == key
-                found += [(-e, i, x) for e, x in zip(est[first].tolist(), j[first].tolist())]
-        if forest:
-            found.sort()
-            root = {c: c for c in comp.tolist()}
-
-            def top(c):
-                while root[c] != c:
-                    root[c] = c = root[root[c]]
-                return c
-
-            tree = []
-            for e, i, j in found:
-                a, b = top(int(comp[i])), top(int(comp[j]))
-                if a != b:
-                    root[a] = b
-                    tree.append((e, i, j))
-            found = tree
-        return [(min(cid[i], cid[j]), max(cid[i], cid[j])) for _, i, j in found]
+                first = bands[i][(bands[j] == bands[i]).argmax(1)] == key
+                found += [(-e, min(cid[i], cid[x]), max(cid[i], cid[x]), i, x) for e, x in zip(est[first].tolist(), j[first].tolist())]
+            if not forest and len(found) > 4 * most:
+                found = portion(found, after)
+        if not forest:
+            found = portion(found, after)
+            return [(key, lo, hi, a, b, len(found) > most) for _, a, b, *_ in found[:most]]
+        root = {c: c for c in comp.tolist()}
+
+        def top(c):
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        tree = []
+        for _, a, b, i, j in sorted(found):
+            x, y = top(int(comp[i])), top(int(comp[j]))
+            if x != y:
+                root[x] = y
+                tree.append((key, lo, hi, a, b, False))
+        return tree
+
+    def portion(found: list[tuple], after: tuple) -> list[tuple]:
+        """The first pairs in order after the last portion, one more than a portion if there are."""
+        return sorted((f for f in found if after[0] is None or f[1:3] > after), key=lambda f: f[1:3])[: most + 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
-        def out(pairs):
-            return pa.RecordBatch.from_pydict({"a": pa.array([int(p[0]) for p in pairs], pa.int64()), "b": pa.array([int(p[1]) for p in pairs], pa.int64())})
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            kinds = [pa.int64()] * 5 + [pa.bool_()]
+            return pa.RecordBatch.from_arrays([pa.array([r[c] if c == 5 else int(r[c]) for r in rows], kind) for c, kind in enumerate(kinds)], ["key", "lo", "hi", "a", "b", "more"])
 
         for batch in slices(batches):
-            pairs = []
+            found = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and held[-1][:3] != row[:3]:
-                    pairs += compare(held)
+                    found += compare(held)
                     held = []
                 held.append(row)
-            yield out(pairs)
+            yield out(found)
         if held:
             yield out(compare(held))
 
-    return rest.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(run, "a long, b long").distinct()
+    return runs.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(run, "key long, lo long, hi long, a long, b long, more boolean")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -227,9 +263,11 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     Equal sets collapse to a class first. MinHash bands deal the classes into buckets. Every member of a bucket is
     compared with the bucket's smallest class: odd sketches, whose XOR counts estimate high similarities closely, drop
     what is clearly below, and full shingle sets confirm the rest. Components of these links settle most buckets; in
-    those that still hold several components, all pairs between components are compared by sketch, in bounded blocks,
-    first a spanning forest, then whatever is left, and confirmed too. So no link between different components is lost
-    for want of a comparison, and pairs inside a component are never listed.
+    those that still hold several components, all pairs between components are compared by sketch, in bounded blocks.
+    A spanning forest of the most similar pairs is listed and confirmed first; then what the sketches still leave open,
+    in bounded portions: what a portion confirms joins components, and their pairs are not listed any more. So no link
+    between different components is lost for want of a comparison, and pairs inside a component are never listed.
+    Sets are sets of 64-bit hashes of the shingles.
 
     Null text is an empty set, and empty sets link with nothing. Ids name documents: rows that repeat id and text get the
     same result, and a row without an id stays alone, with null ``component_id``, and is kept. An empty table gives no
@@ -250,19 +288,35 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     stars = written(stars.filter(_likely("s_a", "s_b", percent)).select("a", "b"), "stars")
     links = written(confirmed(stars, d, words, percent), "confirmed")
     labels = components(links)
-    for forest in (True, False):
+    several = members.filter("size > 2").drop("size")
+    discard(stars)
+    forest, after = True, None
+    while True:
         known = labels.select(F.col("node").alias("cid"), "component")
-        open_ = members.filter("size > 2").join(known, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-        open_ = written(open_.select("key", "cid", "component", "size"), "open")
-        several = open_.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key")
-        rest = open_.join(several, "key", "left_semi").join(reps, "cid")
-        more = written(_block_pairs(rest, percent, forest), "candidates")
-        if more.isEmpty():
+        placed = several.join(known, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+        placed = written(placed.select("key", "cid", "component"), "placed")
+        parted = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key")
+        runs = _runs(placed.join(parted, "key", "left_semi").join(reps, "cid"), percent)
+        if after is None:
+            runs = runs.withColumns({c: F.lit(None).cast("long") for c in ("after_a", "after_b")})
+        else:
+            runs = runs.join(after, ["key", "lo", "hi"])
+        cols = ["key", "lo", "hi", "mine", "cid", "component", "n", "k", "bands", "sketch", "after_a", "after_b"]
+        near = written(_near_pairs(runs.select(*cols), percent, forest), "near")
+        discard(placed)
+        more = written(near.select("a", "b").distinct(), "candidates")
+        if not more.isEmpty():
+            new = written(confirmed(more, d, words, percent), "confirmed")
+            if not new.isEmpty():
+                links = links.union(new)
+                labels = components(links)
+        if not forest:
+            after = near.filter("more").groupBy("key", "lo", "hi").agg(F.max(F.struct("a", "b")).alias("last"))
+            after = written(after.select("key", "lo", "hi", F.col("last.a").alias("after_a"), F.col("last.b").alias("after_b")), "after")
+        discard(near)
+        if more.isEmpty() or (not forest and after.isEmpty()):
             break
-        new = written(confirmed(more, d, words, percent), "confirmed")
-        if not new.isEmpty():
-            links = links.union(new)
-            labels = components(links)
+        forest = False
     known = labels.select(F.col("node").alias("cid"), "component")
     out = sigs.select("doc_id", "n", "set_hash").join(classes, "set_hash", "left").withColumn("cid", F.coalesce("cid", "doc_id")).join(known, "cid", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "cid"))

@@ -475,6 +475,55 @@ def test_near_dedup_blocks(spark, monkeypatch):
     assert got == brute_components(rows, 3, 85)
 
 
+def test_near_dedup_portions(spark, monkeypatch):
+    """Many sets just below the bound in one bucket: candidates come in portions, and no more rows than the blocks need."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "PORTION", 5)
+    rows = []
+    for i in range(20):  # each has words of its own in places of its own: every pair has similarity 0.834, which the sketches leave open
+        own = [f"v{k}" for k in range(400)]
+        for k in range(6):
+            own[(6 * i + k) * 3 + 1] = f"x{i}"
+        rows.append((i, " ".join(own)))
+    rows += [(100 + i, rows[i][1] + " end") for i in range(3)]
+    seen, before = [], near_dedup._near_pairs
+
+    def listed(runs, percent, forest):
+        out = before(runs, percent, forest)
+        seen.append((forest, max([r["count"] for r in out.groupBy("key", "lo", "hi").count().collect()], default=0), runs.count()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "_near_pairs", listed)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in near_dedup.groups(table(spark, [(i, t, None) for i, t in rows]), words=3, percent=85).collect()}
+    assert got == brute_components(rows, 3, 85)
+    assert len(seen) > 2 and seen[0][0] and not seen[1][0]
+    assert all(most <= (16 if forest else 5) for forest, most, _ in seen)
+    assert seen[0][2] <= 32 * 23 * 8  # bands, members, blocks of either kind
+
+
+def test_runs_spare_the_largest_component(spark, monkeypatch):
+    """A bucket of many linked members and a few others: a row for each member, not one for each block."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 10)
+    members = [(1, k, 0 if k < 1000 else k, 50 + k % 3) for k in range(1003)]
+    rest = spark.createDataFrame([(*m, 50, [0], [0]) for m in members], "key long, cid long, component long, n long, k int, bands array<long>, sketch array<long>")
+    assert near_dedup._runs(rest, 85).count() < 1000 * 3 + 3 * 200
+
+
+def test_recall_near_the_bound():
+    """Pairs of similarity 0.85 to 0.86 and 0.80 to 0.81, as the queries ask for them: bands and sketches lose none of 2,000."""
+    r = np.random.default_rng(12)
+    for percent in (85, 80):
+        lost = 0
+        for n in r.integers(20, 4000, 1000).tolist():
+            common = -(-2 * n * percent // (100 + percent))
+            h = r.integers(0, 1 << 63, 2 * n - common, dtype=np.uint64) * np.uint64(2)
+            a, b = np.sort(h[:n]), np.sort(h[n - common :])
+            (s, k), (t, m) = near_dedup.odd_sketch(a), near_dedup.odd_sketch(b)
+            est = near_dedup.estimate(np.bitwise_count(s.view(np.uint64) ^ t.view(np.uint64)).sum(), k, m, n, n, percent)
+            lost += not (near_dedup.band_keys(a) == near_dedup.band_keys(b)).any() or est < percent / 100 - (near_dedup.WHOLE_MARGIN if n <= near_dedup.WHOLE else near_dedup.MARGIN)
+        assert lost == 0
+
+
 def test_tiny_sets_share_a_band():
     """Sets of 4 and 5 shingles, similarity 0.8."""
     r = np.random.default_rng(3)
