@@ -97,6 +97,34 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(documents(spark, sf_dir), words=3, percent=85)
 
 
+OP8_SQL = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, hash(substr(h, 2 * i + 1, 800)) AS k FROM (SELECT doc_id, h, unnest(range(n - 399)) AS i FROM t WHERE n >= 400)),
+hits AS (SELECT doc_id, i FROM w SEMI JOIN (SELECT k FROM w GROUP BY k HAVING count(*) > 1) USING (k)),
+runs AS (SELECT doc_id, min(i) AS b, max(i) + 400 AS e FROM (
+  SELECT doc_id, i, sum(CASE WHEN i - p <= 400 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+    SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM hits)) GROUP BY doc_id, run),
+gaps AS (SELECT *, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS a FROM runs),
+cut AS (SELECT doc_id, sum(e - b) AS removed, count(*) AS spans, max(e) AS last, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY b) AS before
+  FROM gaps JOIN t USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN spans IS NULL THEN h ELSE before || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM t LEFT JOIN cut USING (doc_id)
+"""
+
+OP10_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 2], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, ways.b FROM reach JOIN ways ON ways.a = reach.other)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -113,4 +141,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": OP1_SQL, "op4_exact_dedup": OP4_SQL}
+    return {"op1_chat_format": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op8_substring_dedup": OP8_SQL, "op10_near_dedup": OP10_SQL}

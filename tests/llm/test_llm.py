@@ -364,7 +364,23 @@ def brute_strip(texts, length, keep_first=False):
     return [(len(t), sum(c), len(re.findall(b"\1+", c)), bytes(x for x, y in zip(t, c) if not y)) for t, c in zip(texts, cover)]
 
 
-@pytest.mark.parametrize("group", [2, 4096])
+def test_factors():
+    """Longest previous and next factors against all pairs of suffixes."""
+    r = np.random.default_rng(6)
+    for cap in (8, 13, 40):
+        for letters in (1, 2, 20):
+            data = r.integers(0, letters, 90).astype(np.uint8)
+            data[50:80] = data[10:40]
+            want = np.flatnonzero(r.random(90 - cap + 1) < 0.8)
+            text = data.tobytes()
+            shared = [[next((k for k in range(cap) if text[a + k] != text[b + k]), cap) for b in want] for a in want]
+            previous, following = substring_dedup.factors(data, cap, want)
+            assert previous.tolist() == [max(row[:i], default=0) for i, row in enumerate(shared)]
+            assert following.tolist() == [max(row[i + 1 :], default=0) for i, row in enumerate(shared)]
+    assert [x.tolist() for x in substring_dedup.factors(np.zeros(8, np.uint8), 8, np.zeros(1, int))] == [[0], [0]]
+
+
+@pytest.mark.parametrize("group", [2, 2048])
 @pytest.mark.parametrize("keep_first", [False, True])
 def test_substring_dedup(spark, group, keep_first):
     r = random.Random(11)
@@ -377,6 +393,26 @@ def test_substring_dedup(spark, group, keep_first):
     assert all(x.kept_sha256 == hashlib.sha256(x.kept).hexdigest() for x in got)
 
 
+def test_substring_dedup_hot_key(spark):
+    """One passage, shorter than a match, in many documents with other surroundings, some of which repeat."""
+    r = random.Random(13)
+    some = lambda n: "".join(r.choice("abcd") for _ in range(n))
+    passage, around = some(16), [(some(30), some(30)) for _ in range(4)]
+    texts = [(r.choice(around)[0][r.randint(0, 28) :] if r.random() < 0.5 else some(9)) + passage + (r.choice(around)[1][: r.randint(0, 30)] if r.random() < 0.5 else some(12)) for _ in range(60)]
+    df = table(spark, [(i, t, None) for i, t in enumerate(texts)])
+    for group, keep_first in ((3, True), (3, False), (2048, True)):
+        got = substring_dedup.strip_repeats(df.repartition(3), length=24, gram=6, keep_first=keep_first, group=group).orderBy("doc_id").collect()
+        assert [(x.n_bytes, x.n_removed, x.n_spans, bytes(x.kept)) for x in got] == brute_strip([t.encode() for t in texts], 24, keep_first), (group, keep_first)
+
+
+def test_long_text_in_pieces(spark):
+    r = random.Random(14)
+    long_ = "".join(r.choice("abcdefgh ") for _ in range(1_200_000))
+    df = table(spark, [(1, long_, None), (2, "x" + long_[1_040_000:1_060_000], None)])
+    got = {x.doc_id: (x.n_removed, x.n_spans) for x in substring_dedup.strip_repeats(df).collect()}
+    assert got == {1: (20_000, 1), 2: (20_000, 1)}
+
+
 def test_substring_dedup_odd_rows(spark, odd, empty):
     df, rows = odd
     got = substring_dedup.strip_repeats(df).collect()
