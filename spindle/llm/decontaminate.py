@@ -15,8 +15,8 @@ from .hashing import BASE, U, grams, mixed, words
 #: Score of equal words, other words, and a gap; an alignment counts from this share of the item's own score.
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
-#: Items that are compared with the corpus at a time; a larger benchmark takes several blocks.
-BLOCK_ITEMS = 50_000
+#: Items, and characters of items, that are compared with the corpus at a time; a larger benchmark takes several blocks.
+BLOCK_ITEMS, BLOCK_CHARS = 50_000, 32_000_000
 
 
 def smith_waterman(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -169,11 +169,9 @@ _HIT = "doc_id long, item_id long, score double, begin long, end long"
 def _item_blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_items: int) -> Iterator[Items]:
     """The test items in blocks of bounded size, those with a seed."""
     rows = benchmark.select(F.col(item_col).cast("long").alias("item_id"), text_or_empty(item_text_col).alias("text"))
-    if rows.count() > block_items:
-        n = -(-rows.count() // block_items)
-        blocks = [rows.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == k) for k in range(n)]
-    else:
-        blocks = [rows]
+    n, chars = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    n = max(-(-n // block_items), -(-chars // BLOCK_CHARS), 1)
+    blocks = [rows.filter(F.pmod(F.xxhash64("text", "item_id"), F.lit(n)) == k) for k in range(n)] if n > 1 else [rows]
     for block in blocks:
         held = block.collect()
         items = Items([r.item_id for r in held], [r.text for r in held])

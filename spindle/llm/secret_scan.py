@@ -22,10 +22,17 @@ ACCESS = r"AKIA[A-Z0-9]+"
 ACCESS_LEAST = 18
 HEX_LEAST = 16
 
-#: Kinds in the order that breaks ties. The last two are added: their last six characters are a base-62 CRC-32 of the
-#: thirty before, and only spans whose checksum agrees are kept.
-KINDS = ("assign", "access", "hex", "github", "npm")
-_CHECKED = {"github": re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"), "npm": re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")}
+#: Kinds in the order that breaks ties. Those after the first three are added: tokens that embed a checksum, kept only
+#: where it agrees. github, npm: the last six characters are a base-62 CRC-32 of the thirty before. age, nostr: Bech32
+#: (BIP 173). bip32: Base58Check.
+KINDS = ("assign", "access", "hex", "github", "npm", "age", "nostr", "bip32")
+_CHECKED = {
+    "github": re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"),
+    "npm": re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"),
+    "age": re.compile(r"(AGE-SECRET-KEY-)1([02-9AC-HJ-NP-Z]{58})(?![A-Za-z0-9])"),
+    "nostr": re.compile(r"(nsec)1([02-9ac-hj-np-z]{58})(?![A-Za-z0-9])"),
+    "bip32": re.compile(r"([xyz]prv[1-9A-HJ-NP-Za-km-z]{107})()(?![A-Za-z0-9])"),
+}
 
 _ASSIGN = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(ACCESS)
@@ -44,6 +51,10 @@ def _automaton():
     for word in ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"):
         a.add_word(word, ("github", 4))
     a.add_word("npm_", ("npm", 4))
+    a.add_word("age-secret-key-1", ("age", 16))
+    a.add_word("nsec1", ("nostr", 5))
+    for word in ("xprv", "yprv", "zprv"):
+        a.add_word(word, ("bip32", 4))
     a.make_automaton()
     return a
 
@@ -57,6 +68,39 @@ def _checksum(body: str) -> str:
     return out
 
 
+# The alphabets and the generator of Bech32 and Base58Check.
+_BECH32 = "qpzry9x8gf2tvdw0s3jn54khce6mua7l"
+_GENERATOR = (0x3B6A57B2, 0x26508E6D, 0x1EA119FA, 0x3D4233DD, 0x2A1462B3)
+_BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+
+
+def _bech32_agrees(name: str, data: str) -> bool:
+    name, state = name.lower(), 1
+    for value in [*(ord(c) >> 5 for c in name), 0, *(ord(c) & 31 for c in name), *(_BECH32.index(c) for c in data.lower())]:
+        top, state = state >> 25, (state & 0x1FFFFFF) << 5 ^ value
+        for k, g in enumerate(_GENERATOR):
+            state ^= g if top >> k & 1 else 0
+    return state == 1
+
+
+def _base58_agrees(token: str) -> bool:
+    n = 0
+    for c in token:
+        n = n * 58 + _BASE58.index(c)
+    if n >> 656:
+        return False
+    body, check = divmod(n, 1 << 32)
+    twice = hashlib.sha256(hashlib.sha256(body.to_bytes(78, "big")).digest()).digest()
+    return twice[:4] == check.to_bytes(4, "big")
+
+
+def _agrees(kind: str, first: str, last: str) -> bool:
+    """Whether the checksum inside a token is that of the token."""
+    if kind in ("github", "npm"):
+        return _checksum(first) == last
+    return _base58_agrees(first) if kind == "bip32" else _bech32_agrees(first, last)
+
+
 def scan(text: str) -> list[tuple[str, int, int]]:
     """Spans ``(kind, start, end)`` in code points, by start, then kind.
 
@@ -80,7 +124,7 @@ def scan(text: str) -> list[tuple[str, int, int]]:
                 past[kind] = m.end()
                 if m.end() - at >= ACCESS_LEAST:
                     spans.append((kind, at, m.end()))
-        elif (m := _CHECKED[kind].match(text, at)) and _checksum(m[1]) == m[2]:
+        elif (m := _CHECKED[kind].match(text, at)) and _agrees(kind, m[1], m[2]):
             past[kind] = m.end()
             spans.append((kind, at, m.end()))
     spans += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
