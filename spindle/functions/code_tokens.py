@@ -12,20 +12,31 @@ from pyspark.sql import types as T
 from .text import is_alpha, is_identifier, py_strip, word_tokens
 
 # Tokens of code that say nothing of its topic.
-CODE_STOP_WORDS = (
-    "def return import from as class if else elif for while in break continue None True False try except finally with pass "
-    "print self assert yield global lambda nonlocal and or not is = == != === !== > < >= <= + - * / % ** // & | ^ ~ << >> += -= "
-    "*= /= %= **= //= &= |= ^= ~= <<= >>= ( ) [ ] { } , . : ;"
-).split()
-
-#: A short list of English function words; a longer one can be given wherever it is used.
-ENGLISH_STOP_WORDS = (
-    "i me my we our ours you your yours he him his she her hers it its they them their theirs what which who whom this that these "
-    "those am is are was were be been being have has had having do does did doing a an the and but if or because as until while of at "
-    "by for with about against between into through during before after above below to from up down in out on off over under again "
-    "further then once here there when where why how all any both each few more most other some such no nor not only own same so than "
-    "too very s t can will just don should now"
-).split()
+CODE_STOP_WORDS = [
+    "def", "return", "import", "from", "as", "class", "if", "else", "elif", "for", "while", "in", "break", "continue",
+    "None", "True", "False", "try", "except", "finally", "with", "pass", "print", "self", "assert", "yield", "global", "lambda",
+    "nonlocal", "and", "or", "not", "is", "=", "==", "!=", "===", "!==", ">", "<", ">=", "<=",
+    "+", "-", "*", "/", "%", "**", "//", "&", "|", "^", "~", "<<", ">>", "+=",
+    "-=", "*=", "/=", "%=", "**=", "//=", "&=", "|=", "^=", "~=", "<<=", ">>=", "(", ")",
+    "[", "]", "{", "}", ",", ".", ":", ";",
+]
+
+# The English stop words of NLTK's corpus (179 words).
+ENGLISH_STOP_WORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "you're", "you've", "you'll", "you'd", "your",
+    "yours", "yourself", "yourselves", "he", "him", "his", "himself", "she", "she's", "her", "hers", "herself", "it", "it's",
+    "its", "itself", "they", "them", "their", "theirs", "themselves", "what", "which", "who", "whom", "this", "that", "that'll",
+    "these", "those", "am", "is", "are", "was", "were", "be", "been", "being", "have", "has", "had", "having",
+    "do", "does", "did", "doing", "a", "an", "the", "and", "but", "if", "or", "because", "as", "until",
+    "while", "of", "at", "by", "for", "with", "about", "against", "between", "into", "through", "during", "before", "after",
+    "above", "below", "to", "from", "up", "down", "in", "out", "on", "off", "over", "under", "again", "further",
+    "then", "once", "here", "there", "when", "where", "why", "how", "all", "any", "both", "each", "few", "more",
+    "most", "other", "some", "such", "no", "nor", "not", "only", "own", "same", "so", "than", "too", "very",
+    "s", "t", "can", "will", "just", "don", "don't", "should", "should've", "now", "d", "ll", "m", "o",
+    "re", "ve", "y", "ain", "aren", "aren't", "couldn", "couldn't", "didn", "didn't", "doesn", "doesn't", "hadn", "hadn't",
+    "hasn", "hasn't", "haven", "haven't", "isn", "isn't", "ma", "mightn", "mightn't", "mustn", "mustn't", "needn", "needn't", "shan",
+    "shan't", "shouldn", "shouldn't", "wasn", "wasn't", "weren", "weren't", "won", "won't", "wouldn", "wouldn't",
+]
 
 
 def code_token_list(code: str) -> list[str]:
@@ -67,3 +78,8 @@ def topic_tokens(c: Column, stop_words: list[str] = ENGLISH_STOP_WORDS) -> Colum
     names = F.filter(code_tokens(code), lambda t: is_identifier(t) & ~t.isin(*CODE_STOP_WORDS))
     words = F.filter(word_tokens(instruction), lambda t: is_alpha(t) & ~t.isin(*stop_words))
     return F.concat(names, words)
+
+
+def register(spark) -> None:
+    """``code_tokens`` for SQL."""
+    spark.udf.register("code_tokens", _code_tokens)

@@ -34,8 +34,10 @@ def seeded(seed: int | str, *key: Column | str) -> Column:
 
 
 def hash_int(rank: Column, bound: Column, at: int = 1) -> Column:
-    """An integer from 0 to ``bound`` - 1, from eight hexadecimal digits of a rank."""
-    return F.conv(F.substring(rank, at, 8), 16, 10).cast("long") % bound
+    """An integer from 0 to ``bound`` - 1, from eight hexadecimal digits of a rank; for bounds of 2**30 and more the next
+    seven digits of it take part too, so that every value can be drawn."""
+    digits = lambda n: F.conv(F.substring(rank, at, n), 16, 10).cast("long")
+    return F.when(bound < 1 << 30, digits(8)).otherwise(digits(15)) % bound
 
 
 def split_identifier(c: Column | str) -> Column:
@@ -45,7 +47,7 @@ def split_identifier(c: Column | str) -> Column:
 
 def word_tokens(c: Column | str) -> Column:
     """Words at white space, without any character that is no word character, lower-cased."""
-    words = F.transform(F.split(c, r"(?U)\s+"), lambda x: F.lower(F.regexp_replace(x, r"(?U)[^\w]", "")))
+    words = F.split(F.lower(F.regexp_replace(c, r"(?U)[^\w\s]+", "")), r"(?U)\s+")
     return F.filter(words, lambda x: x != "")
 
 

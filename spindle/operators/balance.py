@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import seeded
@@ -40,15 +40,41 @@ def water_fill(sizes: DataFrame, total: int, group: str) -> DataFrame:
 def sample_by_target(df: DataFrame, targets: DataFrame, group: str, row_id: str, seed: int) -> DataFrame:
     """``target`` rows of each group, those of the least hash rank: the same on any partitioning.
 
-    Two levels: the least of each salted part first, then the least of those.
+    ``targets`` has ``group, size, target``. Ranks are uniform, so rows beyond the ``target / size`` quantile and ten
+    deviations are dropped where they lie: what is moved and ordered is about the sample, however large the group. The
+    rest is ranked in two levels: the least of each salted part first, then the least of those. Row ids are unique; a group
+    that keeps too few rows, which ids that repeat may do, is an error.
     """
-    t = targets.select(F.col(group).alias("__group"), F.col("target").alias("__target"))
+    t = targets.select(F.col(group).alias("__group"), F.col("size").alias("__size"), F.col("target").alias("__target"))
     d = df.join(t, df[group].eqNullSafe(F.col("__group"))).withColumn("__rank", seeded(seed, row_id))
-    d = d.withColumn("__salt", F.pmod(F.xxhash64(row_id), F.lit(SALTS)))
+    return _ranked(d, [F.col("__group")], row_id).select(*df.columns)
+
+
+def _ranked(d: DataFrame, groups: list[Column], row_id: str) -> DataFrame:
+    """The ``__target`` rows of least ``__rank`` of each group of ``__size`` rows."""
+    share = (F.col("__target") + 10 * F.sqrt(F.col("__target")) + 50) / F.col("__size")
+    place = F.conv(F.substring("__rank", 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
+    d = d.filter(place <= share).withColumn("__salt", F.pmod(F.xxhash64(row_id), F.lit(SALTS)))
     order = [F.col("__rank"), F.col(row_id)]
-    for keys in (["__group", "__salt"], ["__group"]):
-        d = d.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("__rn <= __target")
-    return d.select(*df.columns)
+    d = d.withColumn("__rn", F.row_number().over(Window.partitionBy(*groups, "__salt").orderBy(*order))).filter("__rn <= __target")
+    every = Window.partitionBy(*groups)
+    d = d.withColumn("__rn", F.row_number().over(every.orderBy(*order))).withColumn("__have", F.count(F.lit(1)).over(every))
+    short = F.raise_error(F.lit("the row ids of a group repeat too often to sample it"))
+    return d.filter(F.when(F.col("__have") < F.least("__size", "__target"), short.cast("boolean")).otherwise(F.col("__rn") <= F.col("__target")))
+
+
+def sample_rows(df: DataFrame, n: int, key: str, rank: Column, source: str = "", clamp: bool = False) -> DataFrame:
+    """``n`` rows, those of the least ``rank``; fewer rows than that are an error in the plan unless ``clamp``."""
+    size = df.agg(F.count(F.lit(1)).alias("__size"))
+    short = F.raise_error(F.concat(F.lit("only "), F.col("__size").cast("string"), F.lit(f" rows to sample {n} from {source}"))).cast("long")
+    target = F.least("__size", F.lit(n)) if clamp else F.when(F.col("__size") < n, short).otherwise(F.lit(n).cast("long"))
+    d = df.crossJoin(F.broadcast(size.withColumn("__target", target))).withColumn("__rank", rank)  # with one row
+    return _ranked(d, [F.lit(1)], key).select(*df.columns)
+
+
+def in_input_order(df: DataFrame, row_id: str) -> DataFrame:
+    """A sample in the order of its input; a sink that is to keep the order writes it as it comes."""
+    return df.orderBy(row_id)
 
 
 def balance_by_group(df: DataFrame, group: str, row_id: str, total: int | None = None, per_group: int | None = None, seed: int = 42) -> DataFrame:

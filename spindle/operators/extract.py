@@ -49,8 +49,10 @@ def _once(df: DataFrame, struct: Column) -> DataFrame:
 def separate_sections(df: DataFrame, response_1: str = "response_1", response_2: str = "response_2") -> DataFrame:
     """Adds ``code_before, instruct_descriptive, instruct_lazy, code_after, reason``.
 
-    ``reason`` is ``missing_mark`` or ``empty_section`` for rows to reject, else null. The old code may be empty.
+    ``reason`` is ``missing_mark`` or ``empty_section`` for rows to reject, else null. The old code may be empty. Columns
+    that have these names are replaced.
     """
+    df = df.drop(*(set((*SECTIONS, "reason")) - {response_1, response_2}))
     def sections(one: Column, two: Column) -> Column:
         earliest = lambda marks: F.least(*[_at(m, one) for m in marks])
         cut = lambda start, end: let(start, lambda s: _slice(one, s, end(s)))
@@ -116,7 +118,8 @@ def purified_instruction(c: Column) -> Column:
 
 
 def purify(df: DataFrame, code_fields: tuple[str, ...] = ("code_before", "code_after"), instruction_fields: tuple[str, ...] = ("instruct_descriptive", "instruct_lazy"), drop_unpurified: bool = False, **options) -> DataFrame:
-    """Adds ``{field}_purify``. A row without fenced code stays, with null, unless ``drop_unpurified``."""
+    """Adds ``{field}_purify``, or replaces it. A row without fenced code stays, with null, unless ``drop_unpurified``."""
+    df = df.drop(*(f"{f}_purify" for f in (*code_fields, *instruction_fields)))
     code = [purified_code(F.col(f), **options).alias(f"{f}_purify") for f in code_fields]
     df = _once(df, F.struct(*code, *[purified_instruction(F.col(f)).alias(f"{f}_purify") for f in instruction_fields]))
     return df.dropna(subset=[f"{f}_purify" for f in code_fields]) if drop_unpurified else df

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import seeded
 from ..sources.jsonl import joined_commit
+from ..sources.store import stored
+from . import balance
 
 STYLES = ("descriptive", "lazy")
 
@@ -27,10 +29,9 @@ def largest_remainder(ratios: list[float], total: int) -> list[int]:
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int, source: str = "", clamp: bool = False) -> DataFrame:
-    """``n`` rows without replacement, those of the least hash rank; fewer rows than that are an error unless ``clamp``."""
-    if not clamp and (have := df.limit(n).count()) < n:
-        raise ValueError(f"only {have} rows to sample {n} from {source}")
-    return df.orderBy(seeded(seed, F.lit(source), key), key).limit(n)
+    """``n`` rows without replacement, those of the least hash rank; fewer rows than that are an error, when the sample is
+    computed, unless ``clamp``."""
+    return balance.sample_rows(df, n, key, seeded(seed, F.lit(source), key), source, clamp)
 
 
 def style_label(model: str | None, style: str) -> Column:
@@ -54,17 +55,22 @@ def as_style(df: DataFrame, style: str, model: str | None = None) -> DataFrame:
 
 
 def shuffled(df: DataFrame, seed: int, *key: str) -> DataFrame:
+    """All rows in order of a hash rank: a random order that is the same on any partitioning."""
     return df.orderBy(seeded(seed, *key), *key)
 
 
-def sample_and_mix(sources: list[DataFrame], styles: list[str], models: list[str | None], ratios: list[float], total: int, seed: int, key: str = "row_id", names: list[str] | None = None) -> DataFrame:
+def sample_and_mix(sources: list[DataFrame], styles: list[str], models: list[str | None], ratios: list[float], total: int, seed: int, key: str = "row_id", names: list[str] | None = None, shuffle: bool = True) -> DataFrame:
     """Samples each source by its share of ``total`` and joins the ``mixed`` records.
 
     Empty instructions go after sampling, so the result may be smaller than ``total``; a source given twice, once for
-    each style, may give a row twice.
+    each style, may give a row twice. Each source is stored once, as its rows are counted, then drawn. The records come
+    in a random order that depends on the seed alone, unless ``shuffle`` is off.
     """
     if not len(sources) == len(styles) == len(models) == len(ratios):
         raise ValueError("sources, styles, models and ratios must have the same length")
     names = names or [f"source{i}" for i in range(len(sources))]
-    parts = [as_style(sample_rows(df, n, key, seed, name), style, model) for df, n, style, model, name in zip(sources, largest_remainder(ratios, total), styles, models, names, strict=True)]
-    return reduce(DataFrame.unionByName, parts)
+    once = {id(df): df for df in sources}
+    held = {k: stored(df, "source") for k, df in once.items()}
+    parts = [as_style(sample_rows(held[id(df)], n, key, seed, name), style, model) for df, n, style, model, name in zip(sources, largest_remainder(ratios, total), styles, models, names, strict=True)]
+    mixed = reduce(DataFrame.unionByName, parts)
+    return shuffled(mixed, seed, "commit", "instr_type") if shuffle else mixed

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.diff import unified_diff
 from ..functions.text import hash_int, seeded, splitlines
+from ..sources.store import stored
 from ..sources.templates import get_prompts
 
 MIN_LINES, MAX_LINES = 5, 15
@@ -78,7 +79,7 @@ def create_prompts(commits: DataFrame, oneshot: DataFrame, sample_num: int, seed
         raise ValueError("only v5.1 extends snippets")
     system, rounds = get_prompts(version)
     spark = commits.sparkSession
-    good = indexed(long_enough(valid_commits(commits), "old_contents", min_lines), "commit", seed).persist()
+    good = stored(indexed(long_enough(valid_commits(commits), "old_contents", min_lines), "commit", seed), "good")
     drawn = pairs(spark, sample_num, good.count(), seed)
     side = lambda s: good.select(F.col("idx").alias(f"{s}_idx"), F.col("commit").alias(f"{s}_commit"), F.col("message").alias(f"{s}_message"), F.col("old_contents").alias(f"{s}_old"))
     d = drawn.join(side("left"), "left_idx").join(side("right"), "right_idx")

@@ -6,17 +6,20 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.diff import COUNTS, diff_counts
+from ..functions.phrases import verb_object_pairs
 
 
 def with_diff(df: DataFrame, old: str = "old_code", new: str = "new_code") -> DataFrame:
     """Adds the five diff counts and ``changed``, their sum over lines. Null texts are empty.
 
-    Whole Arrow batches go through, so the other columns aren't converted; on a stream it is the same.
+    Whole Arrow batches go through, so the other columns aren't converted; on a stream it is the same. Columns that have
+    the names of the counts are replaced.
     """
+    df = df.drop(*COUNTS, "changed")
     kinds = df.select("*", *[F.lit(None).cast("int").alias(c) for c in COUNTS]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,21 +40,41 @@ def filter_by_diff(df: DataFrame, old: str = "code_before_purify", new: str = "c
 
 def diff_summary(d: DataFrame, max_lines: int = 70, max_hunks: int = 7) -> DataFrame:
     """One row for ``changed`` and one for ``hunk_num``: least, most, median, count and share above the limit."""
-    parts = []
-    for name, limit in (("changed", max_lines), ("hunk_num", max_hunks)):
+    def one(name: str, limit: int) -> Column:
         above = F.count_if(F.col(name) > limit)
-        parts.append(d.agg(F.min(name).cast("long").alias("least"), F.max(name).cast("long").alias("most"), F.median(name).alias("median"), above.alias("above"), F.coalesce(above / F.nullif(F.count(F.lit(1)), F.lit(0)), F.lit(0.0)).alias("ratio")).withColumn("metric", F.lit(name)))
-    return parts[0].unionByName(parts[1]).select("metric", "least", "most", "median", "above", "ratio")
+        share = F.coalesce(above / F.nullif(F.count(F.lit(1)), F.lit(0)), F.lit(0.0))
+        return F.struct(F.lit(name).alias("metric"), F.min(name).cast("long").alias("least"), F.max(name).cast("long").alias("most"), F.median(name).alias("median"), above.alias("above"), share.alias("ratio"))
+
+    return d.agg(F.array(one("changed", max_lines), one("hunk_num", max_hunks)).alias("m")).select(F.inline("m"))
 
 
 def histogram(d: DataFrame, value: str, width: int) -> DataFrame:
-    """``bin_start, n`` from 0 to the largest value in steps of ``width``; the last bin is closed, empty bins count 0."""
-    most = d.agg(F.max(value).alias("most")).filter("most is not null")
-    bins = most.select(F.greatest(F.floor((F.col("most") + width - 1) / width), F.lit(1)).alias("bins"))
-    place = F.least(F.floor(F.col(value) / width), F.col("bins") - 1)
-    counts = d.filter(F.col(value).isNotNull()).crossJoin(F.broadcast(bins)).groupBy(place.alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    every = bins.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("bins") - 1)).alias("b"))
-    return every.join(counts, "b", "left").select((F.col("b") * width).cast("long").alias("bin_start"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    """``bin_start, n`` from 0 to the largest value in steps of ``width``; the last bin is closed, empty bins count 0.
+
+    One pass counts each value; the rest works on a row for each value.
+    """
+    by_value = d.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    bins = F.greatest(F.floor((F.max("v").over(Window.partitionBy()) + width - 1) / width), F.lit(1).cast("long"))
+    placed = by_value.withColumn("bins", bins).groupBy("bins", F.least(F.floor(F.col("v") / width), F.col("bins") - 1).alias("b")).agg(F.sum("n").alias("n"))
+    whole = placed.groupBy("bins").agg(F.map_from_entries(F.collect_list(F.struct("b", "n"))).alias("held"))
+    every = whole.select("held", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bins") - 1)).alias("b"))
+    return every.select((F.col("b") * width).cast("long").alias("bin_start"), F.coalesce(F.try_element_at("held", F.col("b")), F.lit(0)).cast("long").alias("n"))
+
+
+def scatter(d: DataFrame, x: str, y: str) -> DataFrame:
+    """Figure data of a scatter plot: ``x, y, n``, a row for each point that occurs."""
+    return d.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def sunburst(counts: DataFrame) -> DataFrame:
+    """Figure data of a sunburst over ``verb, object, count``: ``id, parent, label, value``, verbs within, objects around."""
+    inner = counts.groupBy("verb").agg(F.sum("count").alias("value")).select(F.col("verb").alias("id"), F.lit("").alias("parent"), F.col("verb").alias("label"), "value")
+    return inner.unionByName(counts.select(F.concat_ws("/", "verb", "object").alias("id"), F.col("verb").alias("parent"), F.col("object").alias("label"), F.col("count").alias("value")))
+
+
+def n_groups(df: DataFrame, group: str) -> DataFrame:
+    """``n_groups``: how many groups have rows; the rows without a topic, -1, are none."""
+    return df.agg(F.count_distinct(F.when(F.col(group).cast("string") != "-1", F.col(group))).alias("n_groups"))
 
 
 def top_groups(df: DataFrame, group: str, row_id: str, n: int = 20) -> DataFrame:
@@ -78,19 +101,7 @@ def top_pairs(counts: DataFrame, verbs: int = 20, objects: int = 10, drop_other:
     return ranked.groupBy("verb", F.when(F.col("rn") <= objects, F.col("object")).otherwise("<other>").alias("object")).agg(F.sum("count").alias("count"))
 
 
-def simple_verb_objects(text: str) -> list[tuple[str, str]]:
-    """A rule-based stand-in for a parser: the first word of a sentence, and the next word that is no determiner."""
-    out = []
-    for sentence in text.replace("!", ".").replace("?", ".").replace("\n", ".").split("."):
-        words = ["".join(ch for ch in w if ch.isalpha()).lower() for w in sentence.split()]
-        words = [w for w in words if w]
-        rest = [w for w in words[1:] if w not in ("a", "an", "the", "this", "that", "all", "any", "some", "to", "of", "for", "in")]
-        if rest:
-            out.append((words[0], rest[0]))
-    return out
-
-
-def verb_objects(df: DataFrame, text: str, extractor: Callable[[str], list[tuple[str, str]]] = simple_verb_objects) -> DataFrame:
+def verb_objects(df: DataFrame, text: str, extractor: Callable[[str], list[tuple[str, str]]] = verb_object_pairs) -> DataFrame:
     """``verb, object`` rows of each text, by any extractor."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -13,8 +13,9 @@ from ..operators.stats import count_pairs, filter_by_diff, top_groups, top_pairs
 from ..operators.topics import TopicModel, cached_fit
 from ..sources.jsonl import FilterConfig, edit_prompt_text
 from ..sources.sinks import split_rejected
+from ..sources.store import stored
 
-__all__ = ["dt_filter", "extract_triplets", "format_records", "group_balanced", "topic_report", "verb_object_report"]
+__all__ = ["dt_filter", "extract_triplets", "format_records", "group_balanced", "topic_report", "topic_sample", "verb_object_report"]
 
 
 def extract_triplets(responses: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
@@ -25,7 +26,7 @@ def extract_triplets(responses: DataFrame, **options) -> tuple[DataFrame, DataFr
 
 def group_balanced(df: DataFrame, group: str, row_id: str, config: FilterConfig, old: str = "code_before_purify", new: str = "code_after_purify") -> DataFrame:
     """The diff filter, then a sample balanced by any column."""
-    small = filter_by_diff(df, old, new, config.max_modify_lines, config.max_hunk_num)
+    small = stored(filter_by_diff(df, old, new, config.max_modify_lines, config.max_hunk_num), "small")
     return balance_by_group(small, group, row_id, config.max_samples_total, config.max_samples_per_topic, config.random_seed or 0)
 
 
@@ -33,16 +34,23 @@ def dt_filter(mixed: DataFrame, config: FilterConfig, row_id: str, cache: str |
     """The diff filter, then a sample balanced by the topics of a model fitted on what is left."""
     small = filter_by_diff(mixed, max_modify_lines=config.max_modify_lines, max_hunk_num=config.max_hunk_num)
     text = edit_prompt_text(F.coalesce("code_before_purify", F.lit("")), F.coalesce("instruct_purify", F.lit("")))
-    tokens = small.withColumn("tokens", topic_tokens(text)).persist()
-    model = cached_fit(tokens, cache, refit=config.refit, seed=config.random_seed or 0, **options) if cache else TopicModel.fit(tokens, seed=config.random_seed or 0, **options)
-    topics = model.assign(tokens)
-    return balance_by_group(topics, "topic", row_id, config.max_samples_total, config.max_samples_per_topic, config.random_seed or 0).drop("tokens", "topic")
+    held = stored(small.withColumn("__tokens", topic_tokens(text)), "tokens")
+    seed = config.random_seed or 0
+    model = cached_fit(held, cache, "__tokens", refit=config.refit, seed=seed, **options) if cache else TopicModel.fit(held, "__tokens", seed=seed, **options)
+    topics = stored(model.assign(held, "__tokens", "__topic").drop("__tokens"), "topics")
+    return topic_sample(topics, "__topic", row_id, config).drop("__topic")
+
+
+def topic_sample(topics: DataFrame, topic: str, row_id: str, config: FilterConfig) -> DataFrame:
+    """The balance over topics that :func:`dt_filter` ends with; rows of topic -1, without tokens, are a group like any."""
+    return balance_by_group(topics, topic, row_id, config.max_samples_total, config.max_samples_per_topic, config.random_seed or 0)
 
 
 def topic_report(df: DataFrame, row_id: str, tokens: str = "tokens", **options) -> tuple[DataFrame, DataFrame]:
     """The twenty largest topics, and the words of each topic."""
-    model = TopicModel.fit(df, tokens, **options)
-    return top_groups(model.assign(df, tokens), "topic", row_id), model.describe()
+    held = stored(df.select(row_id, tokens), "tokens")
+    model = TopicModel.fit(held, tokens, **options)
+    return top_groups(model.assign(held, tokens), "topic", row_id), model.describe()
 
 
 def verb_object_report(df: DataFrame, text: str, verbs: int = 20, objects: int = 10, drop_other: bool = True) -> DataFrame:

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .functions.code_tokens import split_edit_prompt, topic_tokens
+from .functions.code_tokens import CODE_STOP_WORDS, code_tokens, split_edit_prompt, topic_tokens
 from .functions.diff import unified_diff
 from .functions.text import seeded, split_identifier, splitlines, word_tokens
 from .operators import balance, extract, finetune, generate, mix, seeds, stats
 from .operators.topics import TopicModel
 from .plans import pipelines
-from .sources import jsonl
+from .sources import jsonl, sinks
 from .sources.sinks import split_rejected
+from .sources.store import fresh_path, stored
+from .sources.templates import get_prompts
 
 SEED = 42
 
@@ -80,6 +84,34 @@ diff AS (SELECT s.doc_id, s.lang, 0 AS added, coalesce(removed, 0)::INT AS remov
 """
 )
 
+#: Unified diffs of texts that lost lines and nothing else; also their old and new texts.
+_DIFF_TEXT = (
+    _EDITS.rstrip().removesuffix("SELECT")
+    + """, g AS (SELECT doc_id, k, sum(CASE WHEN gap IS NULL OR gap > 6 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS h FROM gone),
+hr AS (SELECT doc_id, h, greatest(min(k) - 3, 1) AS a, least(max(k) + 3, any_value(n)) AS b, count(*) AS d FROM g JOIN sizes USING (doc_id) GROUP BY doc_id, h),
+ho AS (SELECT *, b - a + 1 AS old_n, b - a + 1 - d AS new_n, a - coalesce(sum(d) OVER (PARTITION BY doc_id ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS new_a FROM hr),
+body AS (SELECT doc_id, h, string_agg(CASE WHEN e.k IS NULL THEN ' ' ELSE '-' END || line, chr(10) ORDER BY o.k) AS body
+  FROM ho JOIN old o USING (doc_id) LEFT JOIN gone e USING (doc_id, k) WHERE o.k BETWEEN a AND b GROUP BY doc_id, h),
+span AS (SELECT doc_id, h, CASE old_n WHEN 1 THEN a::VARCHAR ELSE a || ',' || old_n END AS o,
+  CASE new_n WHEN 1 THEN new_a::BIGINT::VARCHAR WHEN 0 THEN (new_a - 1)::BIGINT || ',0' ELSE new_a::BIGINT || ',' || new_n END AS w FROM ho),
+hunks AS (SELECT doc_id, '--- ' || chr(10) || '+++ ' || chr(10) || string_agg('@@ -' || o || ' +' || w || ' @@' || chr(10) || body, chr(10) ORDER BY h) AS diff FROM span JOIN body USING (doc_id, h) GROUP BY doc_id),
+texts AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY k) AS before, coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (e.k IS NULL), '') AS after FROM old LEFT JOIN gone e USING (doc_id, k) GROUP BY doc_id),
+said AS (SELECT doc_id, coalesce(h.diff, '') AS diff FROM sizes LEFT JOIN hunks h USING (doc_id))"""
+)
+
+
+def _rewrite_sql() -> str:
+    """The rewriting prompt of each commit: the template's pieces between quotes, and what fills them."""
+    values = {"old_code": "before", "diff": "diff", "commit_message": "lang", "desc_instr_shot": "shot", "lazy_instr_shot": "'go'"}
+    system, (template,) = get_prompts("v5.9")
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    pieces = [values[x] if k % 2 else quoted(x) for k, x in enumerate(re.split(r"\{(\w+)\}", template)) if k % 2 or x]
+    return _DIFF_TEXT + f""", shots AS (SELECT text AS shot, row_number() OVER (ORDER BY lpad(item_id::VARCHAR, 8, '0')) - 1 AS s, count(*) OVER () AS n FROM benchmark)
+SELECT doc_id::VARCHAR AS commit, {quoted(system)} AS system, {" || ".join(pieces)} AS user, before AS old_code, after AS new_code, lang AS commit_message
+FROM documents JOIN said USING (doc_id) JOIN texts USING (doc_id) JOIN shots ON s = ('0x' || substr(md5('42:shot:' || doc_id), 1, 8))::BIGINT % shots.n
+WHERE before <> '' AND after <> '' AND lang <> ''"""
+
+
 _RESP = """WITH resp AS (SELECT doc_id, doc_id::VARCHAR AS commit, source, lang, text,
   CASE WHEN doc_id % 14 = 0 THEN replace(one, '### Lazy', 'Short') ELSE one END AS r1,
   '[Program After Edit]' || chr(10) || '```' || chr(10) || text || chr(10) || '```' AS r2 FROM (
@@ -248,7 +280,7 @@ def reject_reasons(spark, d):
     return _blanked(spark, d).groupBy(seeds.reject_reason().alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(_rewrite_sql())
 def rewrite_prompts(spark, d):
     e = edits(spark, d)
     c = e.select(F.col("doc_id").cast("string").alias("commit"), F.col("code_before_purify").alias("old_contents"), F.col("code_after_purify").alias("new_contents"), F.col("lang").alias("message"))
@@ -334,14 +366,24 @@ _ANSWER = "'```python' || chr(10) || code_after_purify || chr(10) || '```'"
 _RECORD = f"SELECT {_PROMPT} AS instruction, 'You edit code as you are told.' AS system, {_ANSWER} AS output, commit, instr_type, code_before_purify AS old_code, code_after_purify AS new_code FROM mixed WHERE instruct_purify <> ''"
 
 
-@query(_MIXED + " " + _RECORD)
+_ALL = _TRIPLETS + """, mixed AS (SELECT commit, coalesce(code_before_purify, '') AS code_before_purify, coalesce(code_after_purify, '') AS code_after_purify,
+  instruct_{0}_purify AS instruct_purify, 'alpha_{0}' AS instr_type FROM t) """
+
+
+def _styled(spark, d, style: str) -> DataFrame:
+    """All triplets as records of one style."""
+    good, _ = pipelines.extract_triplets(responses(spark, d))
+    return mix.as_style(good, style, "alpha")
+
+
+@query(_ALL.replace("{0}", "descriptive") + _RECORD)
 def format_alpaca(spark, d):
-    return finetune.format_records(_mixed(spark, d), "alpaca", SEED)
+    return finetune.format_records(_styled(spark, d, "descriptive"), "alpaca", SEED)
 
 
-@query(_MIXED + " SELECT system, instruction AS user, output AS assistant, commit, instr_type, 3 AS turns FROM (" + _RECORD + ")")
+@query(_ALL.replace("{0}", "lazy") + "SELECT system, instruction AS user, output AS assistant, commit, instr_type, 3 AS turns FROM (" + _RECORD + ")")
 def format_sharegpt(spark, d):
-    r = finetune.format_records(_mixed(spark, d), "share_gpt", SEED)
+    r = finetune.format_records(_styled(spark, d, "lazy"), "share_gpt", SEED)
     said = lambda k: F.get("messages", F.lit(k))
     return r.select(*[said(k)["content"].alias(n) for k, n in enumerate(("system", "user", "assistant"))], "commit", "instr_type", F.size("messages").alias("turns"))
 
@@ -374,11 +416,16 @@ def diff_histogram(spark, d):
     return stats.histogram(stats.with_diff(edits(spark, d), "code_before_purify", "code_after_purify"), "changed", 5)
 
 
-@query()
+@query(_DIFF_TEXT + " SELECT doc_id, diff FROM said")
 def unified_diff_text(spark, d):
     return edits(spark, d).select("doc_id", unified_diff("code_before_purify", "code_after_purify").alias("diff"))
 
 
+@query(_EDITS + "SELECT removed::INT AS x, hunk_num AS y, count(*) AS n FROM diff GROUP BY ALL")
+def diff_scatter(spark, d):
+    return stats.scatter(stats.with_diff(edits(spark, d), "code_before_purify", "code_after_purify"), "changed", "hunk_num")
+
+
 # ---- Tokens and topics ----
 
 
@@ -409,9 +456,37 @@ def split_identifiers(spark, d):
     return spark.read.parquet(f"{d}/part.parquet").select("p_partkey", F.array_join(split_identifier(name), "|").alias("parts"))
 
 
+#: Names of parts as code, "sky_blue = brand_12", and their types as its instruction.
+_CODE = "lower(replace(p_name, ' ', '_')) || ' = ' || lower(replace(p_brand, '#', '_'))"
+_CODE_PARTS = "list_concat(list_concat(string_split(lower(p_name), ' '), ['=']), string_split(lower(replace(p_brand, '#', '_')), '_'))"
+
+
+def _part_code(spark, d) -> DataFrame:
+    under = lambda c, old: F.lower(F.replace(c, F.lit(old), F.lit("_")))
+    return spark.read.parquet(f"{d}/part.parquet").select("p_partkey", "p_type", F.concat(under("p_name", " "), F.lit(" = "), under("p_brand", "#")).alias("code"))
+
+
+@query(f"SELECT p_partkey, array_to_string(list_filter({_CODE_PARTS}, lambda x: x <> ''), '|') AS tokens FROM part")
+def code_token_lists(spark, d):
+    return _part_code(spark, d).select("p_partkey", F.array_join(code_tokens("code"), "|").alias("tokens"))
+
+
+@query(rf"""SELECT p_partkey, array_to_string(list_concat(list_filter({_CODE_PARTS}, lambda x: regexp_full_match(x, '[\p{{L}}_][\p{{L}}\p{{N}}_]*') AND x NOT IN ({", ".join(f"'{x}'" for x in CODE_STOP_WORDS)})),
+  list_filter(string_split(lower('make it ' || p_type), ' '), lambda x: regexp_full_match(x, '\p{{L}}+') AND x NOT IN ('it'))), '|') AS tokens FROM part""")
+def topic_token_lists(spark, d):
+    text = jsonl.edit_prompt_text(F.col("code"), F.concat(F.lit("Make it "), "p_type"))
+    return _part_code(spark, d).select("p_partkey", F.array_join(topic_tokens(text), "|").alias("tokens"))
+
+
+@query("SELECT count(DISTINCT CASE WHEN doc_id % 3 = 0 THEN NULL ELSE source END) AS n_groups FROM documents")
+def topic_number(spark, d):
+    topic = F.when(F.col("doc_id") % 3 == 0, "-1").otherwise(F.col("source")).alias("topic")
+    return stats.n_groups(_docs(spark, d).select(topic), "topic")
+
+
 @query()
 def topic_assign_lda(spark, d):
-    x = _docs(spark, d).select("doc_id", word_tokens("text").alias("tokens"))
+    x = stored(_docs(spark, d).select("doc_id", word_tokens("text").alias("tokens")), "tokens")
     return TopicModel.fit(x, seed=SEED).assign(x).select("doc_id", "topic")
 
 
@@ -464,6 +539,23 @@ def dt_filter(spark, d):
     return pipelines.group_balanced(edits(spark, d), "lang", "doc_id", config).select("doc_id", "lang")
 
 
+_TOPICS = "(SELECT doc_id, (CASE WHEN doc_id % 7 = 0 THEN -1 ELSE ('0x' || substr(md5(source), 1, 4))::INT % 5 END)::INT AS topic FROM documents)"
+
+
+@query("WITH x AS " + _TOPICS + ", q AS (SELECT * FROM (" + _fill_sql("x", "topic", "doc_id", 200) + " SELECT * FROM q)), s AS (SELECT doc_id, topic, target, row_number() OVER (PARTITION BY topic ORDER BY md5('42:' || doc_id), doc_id) AS rn FROM x JOIN q USING (topic)) SELECT doc_id, topic FROM s WHERE rn <= target")
+def topic_filter_balance(spark, d):
+    """The end of the topic filter, with topics that SQL can tell; documents without tokens are topic -1."""
+    topic = F.when(F.col("doc_id") % 7 == 0, -1).otherwise(F.conv(F.substring(F.md5("source"), 1, 4), 16, 10).cast("int") % 5).cast("int")
+    return pipelines.topic_sample(_docs(spark, d).select("doc_id", topic.alias("topic")), "topic", "doc_id", jsonl.FilterConfig("", [], "general", SEED, 5, 2, 200))
+
+
+@query()
+def dt_filter_topics(spark, d):
+    """The whole filter: diffs, a topic model fitted on what is left, balance over its topics."""
+    mixed = edits(spark, d).withColumn("instruct_purify", F.col("lang"))
+    return pipelines.dt_filter(mixed, jsonl.FilterConfig("", [], "general", SEED, 70, 7, 200), "doc_id").select("doc_id")
+
+
 # ---- Statistics ----
 
 _PAIRS_OF = "c AS (SELECT event_type AS verb, json_extract_string(props, '$.k') AS object, count(*) AS count FROM events GROUP BY ALL), v AS (SELECT verb FROM c GROUP BY verb ORDER BY sum(count) DESC, verb LIMIT 3), r AS (SELECT c.*, row_number() OVER (PARTITION BY verb ORDER BY count DESC, object) AS rn FROM c SEMI JOIN v USING (verb))"
@@ -484,6 +576,21 @@ def verb_object_other(spark, d):
     return stats.top_pairs(_event_pairs(spark, d), 3, 5, drop_other=False)
 
 
+@query("WITH " + _PAIRS_OF + ", p AS (SELECT * FROM r WHERE rn <= 5) SELECT verb || '/' || object AS id, verb AS parent, object AS label, count AS value FROM p UNION ALL SELECT verb, '', verb, sum(count)::BIGINT FROM p GROUP BY verb")
+def verb_object_sunburst(spark, d):
+    return stats.sunburst(stats.top_pairs(_event_pairs(spark, d), 3, 5))
+
+
+#: Instructions by document, with the verb and object that a reader finds in them.
+_SAID = [("Please add a short docstring to the {} function.", "add", "docstring"), ("Rename the variable, then remove the unused {} import", "rename", "variable"), ("It should return a sorted list of {} names.", "return", "list")]
+
+
+@query("SELECT verb, object, count(*) AS count FROM (SELECT unnest(CASE doc_id % 3 WHEN 0 THEN [('add', 'docstring')] WHEN 1 THEN [('rename', 'variable'), ('remove', 'import')] ELSE [('return', 'list')] END) AS p, p[1] AS verb, p[2] AS object FROM documents) GROUP BY ALL")
+def verb_object_pairs(spark, d):
+    text = F.element_at(F.array(*[F.replace(F.lit(t), F.lit("{}"), F.col("lang")) for t, _, _ in _SAID]), (F.col("doc_id") % 3 + 1).cast("int"))
+    return stats.count_pairs(stats.verb_objects(_docs(spark, d).select(text.alias("text")), "text"))
+
+
 @query()
 def verb_object_extract(spark, d):
     return pipelines.verb_object_report(_docs(spark, d), "text")
@@ -516,3 +623,61 @@ def generate_resume(spark, d):
     r = _requests(spark, d)
     done = r.filter("request_id % 3 = 0").select("request_id", F.lit(1).alias("sample_index"))
     return generate.generate(r, num_completion=2, done=done.union(done)).select("request_id", "sample_index")
+
+
+class _Flaky(generate.StubClient):
+    """Fails at the first call of every conversation and turn, then answers."""
+
+    failed: set[str] = set()
+
+    def complete(self, messages, temperature=0.8, top_p=0.95, max_tokens=2048) -> str:
+        said = super().complete(messages)
+        if said not in self.failed:
+            self.failed.add(said)
+            raise TimeoutError("busy")
+        return said
+
+
+_ANSWERS = _ROUNDS + " SELECT request_id, sample_index::INT AS sample_index, r1 AS response_1, md5('system:s' || chr(10) || 'user:' || source || chr(10) || 'assistant:' || r1 || chr(10) || 'user:' || lang) AS response_2 FROM a"
+
+
+@query(_ANSWERS)
+def generate_retry(spark, d):
+    g = generate.generate(_requests(spark, d), _Flaky, num_completion=2, retries=2, wait_s=0)
+    return generate.output_fields(generate.flatten_rounds(g, 2), ["request_id", "sample_index", "response_1", "response_2"])
+
+
+@query(_ANSWERS)
+def generate_saved(spark, d):
+    """Saved in portions; the second start finds all answers there."""
+    path = fresh_path(spark, "answers")
+    generate.generate_saved(_requests(spark, d).filter("request_id % 2 = 0"), path, 2, num_completion=2)
+    g = generate.generate_saved(_requests(spark, d), path, 2, num_completion=2)
+    return generate.output_fields(generate.flatten_rounds(g, 2), ["request_id", "sample_index", "response_1", "response_2"])
+
+
+# ---- Files ----
+
+
+@query("SELECT doc_id, text, lang FROM documents")
+def jsonl_round_trip(spark, d):
+    """Written in two appends, in plain UTF-8."""
+    path, x = fresh_path(spark, "jsonl"), _docs(spark, d).select("doc_id", "text", "lang")
+    for k in range(2):
+        sinks.write_jsonl(x.filter(F.col("doc_id") % 2 == k), path, append=k > 0)
+    return jsonl.read_jsonl(spark, path, "doc_id long, text string, lang string")
+
+
+@query("SELECT doc_id, text, lang FROM documents")
+def jsonl_strict_ascii(spark, d):
+    path = fresh_path(spark, "jsonl")
+    sinks.write_jsonl(_docs(spark, d).select("doc_id", "text", "lang"), path, ascii_only=True)
+    return jsonl.read_jsonl(spark, path, "doc_id long, text string, lang string", strict=True)
+
+
+@query("SELECT lang, count(*) AS size, min(doc_id) AS first_row FROM documents GROUP BY lang UNION ALL SELECT source, count(*), min(doc_id) FROM documents GROUP BY source")
+def statistics_csv(spark, d):
+    path = fresh_path(spark, "statistics")
+    for group in ("lang", "source"):
+        sinks.append_statistics(stats.top_groups(_docs(spark, d), group, "doc_id", 1 << 30).withColumnRenamed(group, "lang"), path)
+    return spark.read.csv(path, header=True, schema="lang string, size long, first_row long")

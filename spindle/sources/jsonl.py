@@ -9,8 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of a JSON-lines file or folder; blank lines are skipped, a malformed line fails the read."""
+def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
+    """Rows of a JSON-lines file or folder; a malformed line fails the read. Blank lines are skipped; ``strict`` refuses them."""
+    if strict:
+        blank = F.raise_error(F.lit("a line is blank")).cast("string")
+        line = F.when(F.trim("value") == "", blank).otherwise(F.col("value"))
+        return spark.read.text(path).select(F.from_json(line, schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
     return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 

@@ -7,9 +7,10 @@ from pathlib import PurePosixPath
 from pyspark.sql import DataFrame
 
 
-def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
-    """A folder of JSON-lines files in plain UTF-8."""
-    df.write.mode("append" if append else "overwrite").option("ignoreNullFields", True).json(path)
+def write_jsonl(df: DataFrame, path: str, append: bool = False, ascii_only: bool = False) -> None:
+    """A folder of JSON-lines files in plain UTF-8, or with escapes for all that isn't ASCII. A DataFrame that is ordered is
+    written in its order, part file by part file."""
+    df.write.option("writeNonAsciiCharacterAsCodePoint", ascii_only).mode("append" if append else "overwrite").option("ignoreNullFields", True).json(path)
 
 
 def append_statistics(df: DataFrame, path: str) -> None:

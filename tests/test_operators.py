@@ -7,10 +7,14 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from spindle import queries
+from spindle import queries, schemas
+from spindle.functions.code_tokens import CODE_STOP_WORDS, code_token_list
 from spindle.functions.diff import diff_counts, register
+from spindle.functions.phrases import verb_object_pairs
+from spindle.functions.text import seeded
 from spindle.operators import balance, extract, finetune, generate, mix, seeds, stats, topics
-from spindle.plans import pipelines
+from spindle.operators.topics import TopicModel
+from spindle.plans import jobs, pipelines
 from spindle.sources import jsonl, sinks, templates
 
 FENCE = "```"
@@ -154,8 +158,8 @@ def test_mixing(spark):
     for args in (([df], ["other"], [None], [1.0]), ([df], ["lazy"], [None, None], [1.0]), ([df], ["lazy"], [None], [0.9])):
         with pytest.raises(ValueError):
             mix.sample_and_mix(*args, 5, 1)
-    with pytest.raises(ValueError):
-        mix.sample_and_mix([df], ["lazy"], [None], [1.0], 11, 1)
+    with pytest.raises(Exception, match="rows to sample"):
+        mix.sample_and_mix([df], ["lazy"], [None], [1.0], 11, 1).collect()
 
 
 def test_records(spark):
@@ -320,3 +324,142 @@ def test_streaming(spark, tmp_path):
     q.awaitTermination(120)
     got = spark.read.json(f"file://{tmp_path}/out").collect()
     assert len(got) == 1 and got[0].code_before_purify == "a\nb"
+
+
+def test_verb_object_pairs():
+    said = {
+        "Add a docstring to the function.": [("add", "docstring")],
+        "Please rename the variable and remove all unused imports!": [("rename", "variable"), ("remove", "imports")],
+        "The function should return a sorted list of names": [("return", "list")],
+        "Refactor the main loop to use list comprehensions, then print the total number.": [("refactor", "loop"), ("use", "comprehensions"), ("print", "number")],
+        "Run": [],
+        "": [],
+    }
+    assert {t: verb_object_pairs(t) for t in said} == said
+
+
+def test_orders(spark):
+    df = spark.range(200).repartition(5)
+    order = [r.id for r in mix.shuffled(df, 7, "id").collect()]
+    assert order == [r.id for r in mix.shuffled(df.repartition(3), 7, "id").collect()] and order != sorted(order) == list(range(200))
+    assert [r.id for r in balance.in_input_order(df, "id").collect()] == list(range(200))
+
+
+def test_large_groups_are_cut_where_they_lie(spark):
+    df = spark.range(20_000).withColumn("g", F.when(F.col("id") < 19_000, "big").otherwise("small"))
+    got = balance.balance_by_group(df, "g", "id", per_group=40, seed=3).groupBy("g").count().collect()
+    assert {r.g: r["count"] for r in got} == {"big": 40, "small": 40}
+    want = [r.id for r in df.filter("g = 'big'").orderBy(seeded(3, "id"), "id").limit(40).collect()]
+    assert sorted(want) == sorted(r.id for r in balance.balance_by_group(df, "g", "id", per_group=40, seed=3).filter("g = 'big'").collect())
+
+
+def test_clashing_names_are_replaced(spark):
+    df = spark.createDataFrame([("a\nb", "a", 9, 9, "mine")], "old_code string, new_code string, added int, changed int, reason string")
+    r = stats.with_diff(df).first()
+    assert (r.added, r.removed, r.changed, r.reason) == (0, 1, 1, "mine")
+    sections = extract.separate_sections(spark.createDataFrame([("x", "y", "mine", "mine")], "response_1 string, response_2 string, reason string, code_after string"))
+    assert sections.columns.count("reason") == 1 and sections.first().reason == "missing_mark"
+    asked = spark.createDataFrame([(1, "s", "u", "mine", 5)], "request_id long, system string, user string, response string, sample_index int")
+    assert generate.generate(asked).first().sample_index == 1
+
+
+def test_http_client(spark):
+    import json
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    asked = []
+
+    class Service(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            asked.append((self.path, self.headers.get("Authorization"), body))
+            self.send_response(503 if len(asked) == 1 else 200)
+            self.end_headers()
+            self.wfile.write(json.dumps({"choices": [{"message": {"role": "assistant", "content": f"{len(body['messages'])} turns"}}]}).encode())
+
+        def log_message(self, *a):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}/v1/"
+    prompts = spark.createDataFrame([(1, "s", ["one", "two"])], "request_id long, system string, user array<string>")
+    got = generate.generate(prompts, lambda: generate.HttpClient(url, "some-model", "secret"), retries=2, wait_s=0).first()
+    server.shutdown()
+    assert got.response == ["2 turns", "4 turns"] and got.error is None
+    path, key, body = asked[-1]
+    assert path == "/v1/chat/completions" and key == "Bearer secret" and body["model"] == "some-model" and body["temperature"] == 0.8 and len(asked) == 3
+
+
+def test_generation_is_saved_as_it_goes(spark, tmp_path):
+    class Unlucky(generate.StubClient):
+        def complete(self, messages, *a):
+            if "b" in messages[-1]["content"]:
+                raise OSError("down")
+            return generate.StubClient.complete(self, messages)
+
+    prompts = spark.createDataFrame([(k, "s", t) for k, t in enumerate(["a", "b", "c", " "])], "request_id long, system string, user string")
+    path = f"file://{tmp_path}/out"
+    some = generate.generate_saved(prompts, path, 3, model=Unlucky, retries=1)
+    assert {r.request_id for r in some.collect()} == {0, 2}
+    n = spark.read.json(path).count()
+    assert {r.request_id for r in generate.generate_saved(prompts, path, 3).collect()} == {0, 1, 2}
+    assert spark.read.json(path).count() == n + 1  # only what had failed was asked again
+    with pytest.warns(UserWarning, match="nowhere"):
+        assert generate.output_fields(prompts, ["user", "nowhere"]).columns == ["user"]
+
+
+def test_jobs_from_file_to_file(spark, tmp_path):
+    import yaml
+
+    marks = "[Program Before Edit]\n" + FENCE + "\nx = 1\ny = {0}\n" + FENCE + "\n[Descriptive]\nset value {0}\n[Lazy]\nset {0}"
+    rows = [(f"c{k}", ["s"], marks.format(k), f"[Program After Edit]\n{FENCE}\nx = 1\ny = {k + 1}\n{FENCE}") for k in range(12)]
+    root = f"file://{tmp_path}"
+    sinks.write_jsonl(spark.createDataFrame(rows, "commit string, code_snippet array<string>, response_1 string, response_2 string"), f"{root}/responses")
+    jobs.run_extraction(spark, f"{root}/responses", f"{root}/triplets.jsonl", f"{root}/bad")
+    mix_config = {"input_files": [f"{root}/triplets.jsonl"] * 2, "ratios": [0.5, 0.5], "instr_types": ["descriptive", "lazy"], "model_names": ["m", None], "output_file": f"{root}/mixed.jsonl", "total_samples": 20, "random_seed": 42}
+    (tmp_path / "mix.yaml").write_text(yaml.safe_dump(mix_config))
+    mixed = jobs.run_mix(spark, f"{root}/mix.yaml")
+    assert jsonl.read_jsonl(spark, mixed, schemas.MIXED).groupBy("instr_type").count().count() == 2
+    filter_config = {"jsonl_path": mixed, "field_name": ["code_before_purify", "instruct_purify"], "data_format": "general", "random_seed": 42, "filter_settings": {"max_modify_lines": 70, "max_hunk_num": 7, "max_samples_total": 8}}
+    (tmp_path / "filter.yaml").write_text(yaml.safe_dump(filter_config))
+    kept = jobs.run_filter(spark, f"{root}/filter.yaml", k=3, iterations=2)
+    assert kept == f"{root}/mixed_dt_filtered.jsonl" or kept.endswith("mixed_dt_filtered.jsonl")
+    assert jsonl.read_jsonl(spark, kept, schemas.MIXED).count() == 8
+    out = jobs.run_format(spark, mixed, f"{root}/records")
+    assert jsonl.read_jsonl(spark, out, schemas.SHAREGPT).count() == 20
+    (tmp_path / "blank.jsonl").write_text('{"commit": "a"}\n\n')
+    assert jsonl.read_jsonl(spark, f"{root}/blank.jsonl", "commit string").count() == 1
+    with pytest.raises(Exception, match="blank"):
+        jsonl.read_jsonl(spark, f"{root}/blank.jsonl", "commit string", strict=True).collect()
+
+
+def test_topic_report(spark):
+    words = [["apple", "pear", "plum"], ["bolt", "screw", "nail"]]
+    df = spark.createDataFrame([(k, words[k % 2] * 5) for k in range(40)] + [(99, [])], "row_id long, tokens array<string>")
+    largest, described = pipelines.topic_report(df, "row_id", k=2, iterations=20)
+    sizes = {r.topic: r["size"] for r in largest.collect()}
+    assert sizes[-1] == 1 and sum(sizes.values()) == 41
+    said = {r.topic: set(r.terms[:3]) for r in described.collect()}
+    assert {frozenset(x) for t, x in said.items() if t in sizes} <= {frozenset(w) for w in words}
+    topics = TopicModel.fit(df, k=2).assign(df)
+    assert stats.n_groups(topics, "topic").first().n_groups == topics.filter("topic >= 0").select("topic").distinct().count()
+
+
+def test_registered_queries_without_sql(spark):
+    """On the smallest tables, against what the operators must hold there."""
+    sf = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    tokens = {r.doc_id: r.tokens for r in queries.QUERIES["topic_documents"](spark, sf).collect()}
+    assert tokens.keys() == docs.keys()
+    names = [t for t in code_token_list(docs[5].text.strip()) if t.isidentifier() and t not in CODE_STOP_WORDS]
+    assert [t for t in tokens[5] if t.isascii()][: len([n for n in names if n.isascii()])] == [n for n in names if n.isascii()]
+    topics = {r.doc_id: r.topic for r in queries.QUERIES["topic_assign_lda"](spark, sf).collect()}
+    assert topics.keys() == docs.keys() and all((topics[i] == -1) == (not any(c.isalnum() for c in docs[i].text)) for i in docs)
+    kept = [r.doc_id for r in queries.QUERIES["dt_filter_topics"](spark, sf).collect()]
+    assert len(kept) == len(set(kept)) <= 200 and set(kept) <= docs.keys()
+    from collections import Counter
+
+    pairs = Counter(p for d in docs.values() for p in verb_object_pairs(d.text))
+    assert all(pairs[r.verb, r.object] == r["count"] for r in queries.QUERIES["verb_object_extract"](spark, sf).collect())
