@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, text_or_empty, written
+from .common import discard, slices, text_or_empty, written
 
 #: Hashed features; and the most labelled rows and features of rows that the fit takes, the documented bounds of its sample.
 BUCKETS, MOST_ROWS, MOST_FEATURES = 1 << 20, 16_000, 12_000_000
@@ -151,11 +151,11 @@ def fit_arrays(rows: list[np.ndarray], grade: np.ndarray, steps: int = 300, rate
     return OrdinalModel(dict(zip(index[some].tolist(), w[some].tolist())), tuple(float(t) for t in thresholds))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade: Column | None = None, most_rows: int = MOST_ROWS, most_features: int = MOST_FEATURES, seed: int = 42) -> OrdinalModel:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade: Column | None = None, most_rows: int = MOST_ROWS, most_features: int = MOST_FEATURES, seed: int = 42, least: int = 4, least_z: float = 6.0) -> OrdinalModel:
     """Fits on at most ``most_rows`` rated documents, the first in order of a hash of id and seed.
 
-    Executors hash the features; the driver gets bucket numbers of the bounded sample only, and of its rows in that order
-    no more than have ``most_features`` together. Rows without a rating, an id or a document don't count; null text is
+    Of its rows in that order no more are taken than have ``most_features`` together. Executors hash the features and count
+    which tell grades apart; the driver gets those of the bounded sample only. Rows without a rating, an id or a document don't count; null text is
     empty; of several ratings of a document each counts.
     """
     rated = labels.select(F.col(id_col).alias("__id"), (grades() if grade is None else grade).cast("int").alias("__grade")).filter("__id is not null and __grade is not null")
@@ -172,10 +172,39 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = written(d.mapInArrow(hashed, "place long, id long, grade int, n int, features array<int>"), "features")
     order = Window.orderBy("place", "id", "grade", "n")  # of most_rows rows
     first = rows.withColumn("before", F.sum("n").over(order) - F.col("n")).filter(F.col("before") + F.col("n") <= most_features)
-    got = first.orderBy("place", "id", "grade", "n").select("grade", "features").toArrow()
+    first = written(first.drop("before"), "sample")
+    tell = first.sparkSession.sparkContext.broadcast(_telling(first, least, least_z))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [np.intersect1d(np.asarray(f.values, np.int32), tell.value, assume_unique=True) for f in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32())), *batch.columns[2:]], ["grade", "features", "place", "id", "n"])
+
+    got = first.select("grade", "features", "place", "id", "n").mapInArrow(kept, "grade int, features array<int>, place long, id long, n int")
+    got = got.orderBy("place", "id", "grade", "n").select("grade", "features").toArrow()
+    discard(rows, first)
     lists = got["features"].combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int32()))
     flat, ends = np.asarray(lists.flatten()), np.cumsum(np.asarray(pc.list_value_length(lists)), dtype=np.int64)
-    return fit_arrays(np.split(flat, ends[:-1]) if len(ends) else [], got["grade"].to_numpy())
+    return fit_arrays(np.split(flat, ends[:-1]) if len(ends) else [], got["grade"].to_numpy(), least=least, least_z=least_z)
+
+
+def _telling(rows: DataFrame, least: int, least_z: float) -> np.ndarray:
+    """The features whose share of rows differs between a grade and the others by ``least_z`` standard errors, counted by
+    the executors: :func:`fit_arrays` uses no others, so the driver needs no others."""
+    sizes = {r.grade: r["count"] for r in rows.groupBy("grade").count().collect()}
+    total = sum(sizes.values())
+    if len(sizes) < 2:
+        return np.zeros(0, np.int32)
+    counts = rows.select("grade", F.explode("features").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("all"), *[F.count_if(F.col("grade") == k).alias(f"in_{k}") for k in sizes])
+    p = F.col("all") / total
+
+    def z(k: int, n: int) -> Column:
+        error = F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * (1 / n + 1 / (total - n)))
+        return F.abs(F.col(f"in_{k}") / n - (F.col("all") - F.col(f"in_{k}")) / (total - n)) / error
+
+    # A hair below the bound, which fit_arrays applies itself: rounding may differ.
+    clear = F.greatest(*[z(k, n) for k, n in sizes.items()]) >= least_z - 1e-6
+    return np.sort(counts.filter((F.col("all") >= least) & clear).select("f").toPandas()["f"].to_numpy(np.int32))
 
 
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
