@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, exact_dedup, mix_sources, near_dedup, quality, secret_scan, substring_dedup, token_counts, token_store
+from . import chat_format, collocations, decontaminate, exact_dedup, mix_sources, near_dedup, quality, secret_scan, substring_dedup, token_counts, token_store, url_filter
 from .common import documents
 
 #: In the contract: a conversation whose texts hold control strings.
@@ -125,6 +125,45 @@ FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(documents(spark, sf_dir))
+
+
+#: In the contract: rules as host, path and verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
+
+
+OP11_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM p),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) t(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k AS size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT c.lang, c.phrase, c.f AS a, t.k, n.n::BIGINT AS n, l.f AS l, r.f AS r, (1000::HUGEINT * c.f * n.n) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, string_split(phrase, ' ') AS v FROM f WHERE size > 1) c JOIN range(1, 5) t(k) ON t.k < c.size
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(v[1:t.k], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(v[t.k + 1:], ' ') JOIN n ON n.lang = c.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+subs AS (SELECT lang, f, array_to_string(v[i:i + m - 1], ' ') AS phrase FROM (SELECT lang, f, v, m, unnest(range(1, size - m + 2)) AS i FROM (SELECT *, string_split(phrase, ' ') AS v FROM f WHERE size > 2) c JOIN range(2, 5) t(m) ON t.m < c.size)),
+kept AS (SELECT * FROM best ANTI JOIN subs ON subs.lang = best.lang AND subs.phrase = best.phrase AND 100 * subs.f >= 100 * best.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+OP12_SQL = r"""
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r AS (SELECT * FROM (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')) t(h, p, v)),
+f AS (SELECT page_id, host, path, u.row, h || p AS rule, v FROM (SELECT *, row_number() OVER () AS row FROM u) u LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM f QUALIFY row_number() OVER (PARTITION BY row ORDER BY length(rule) DESC NULLS LAST) = 1
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -137,8 +176,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_secret_scan": op9_secret_scan,
         "op10_near_dedup": op10_near_dedup,
+        "op11_phrases": op11_phrases,
+        "op12_url_filter": op12_url_filter,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op8_substring_dedup": OP8_SQL, "op10_near_dedup": OP10_SQL}
+    return {"op1_chat_format": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op8_substring_dedup": OP8_SQL, "op10_near_dedup": OP10_SQL, "op11_phrases": OP11_SQL, "op12_url_filter": OP12_SQL}
