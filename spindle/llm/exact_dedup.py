@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import maybe_broadcast, written
 
 #: Most digests that the sketch tracks, and so the most that is ever broadcast: at about 100 bytes each, under 1 MB.
 TRACKED = 8192
@@ -49,7 +49,10 @@ def digest_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tracked: int = TRACKED) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; see :func:`digest_groups` for the rule.
 
-    Rows that repeat both id and text count as one document and are all returned.
+    Rows go by id and text: an id, or null, with several texts loses those only that another document stands for. Rows
+    that repeat both count as one document and are all returned.
     """
-    gone = digest_groups(docs, id_col, text_col, tracked).filter("not kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone.distinct(), F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+    gone = digest_groups(docs, id_col, text_col, tracked).filter("not kept").select("doc_id", F.unhex("text_sha256").alias("digest")).distinct()
+    gone = written(gone, "gone")
+    own = F.unhex(F.sha2(F.coalesce(docs[text_col], F.lit("")), 256))
+    return docs.join(maybe_broadcast(gone, gone.count()), docs[id_col].eqNullSafe(gone["doc_id"]) & (own == gone["digest"]), "left_anti")

@@ -184,10 +184,34 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return fixed.unionByName(rounded).withColumn("taken", F.col("copies") * F.col("size"))
 
 
-def apply_mix(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with each row as often as ``mixed`` takes its id; rows of one id are taken alike."""
-    take = mixed.groupBy("doc_id").agg(F.max("copies").alias("__copies")).filter("__copies > 0").withColumnRenamed("doc_id", "__id")
-    take = written(take, "take")
-    take = maybe_broadcast(take, take.count())
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.join(take, docs[id_col].eqNullSafe(F.col("__id"))).select(*cols, F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")).drop("__copy")
+def apply_mix(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``docs`` with each row as often as ``mixed``, made of the same rows, takes it.
+
+    Where an id names one row, they meet by id. Rows that share an id, null included, are told apart by source and size; of
+    those alike in all three, which :func:`mix` may take differently often, the first few take one copy more, numbered
+    in salted lots, so that all copies together are those of the mix however often a row repeats. Columns of any name
+    are kept; an empty table gives no rows.
+    """
+    by_id = mixed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("copies").alias("copies")).filter("rows > 1 or copies > 0")
+    by_id = written(by_id, "take")
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).cast("long").alias("id"))
+    held = held.join(maybe_broadcast(by_id, by_id.count()), F.col("id").eqNullSafe(F.col("doc_id")))
+    taken = lambda d: d.filter("copies > 0").select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("doc.*")
+    out = taken(held.filter("rows = 1"))
+    if by_id.filter("rows > 1").isEmpty():
+        return out
+    doc = F.col("doc")
+    many = held.filter("rows > 1").select("doc", "id", doc[source_col].alias("src"), F.regexp_count(F.coalesce(doc[text_col], F.lit("")), F.lit(WORD)).cast("long").alias("words"))
+    alike = mixed.join(by_id.filter("rows > 1").select(F.col("doc_id").alias("id")), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    alike = alike.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n"), F.min("copies").alias("least"), F.sum("copies").alias("all"))
+    alike = written(alike, "alike")
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & F.col("src").eqNullSafe(F.col("source")) & (F.col("words") == F.col("size"))
+    many = many.join(maybe_broadcast(alike, alike.count()), same).withColumn("key", F.struct("id", "src", "words"))
+    many = written(many.select("doc", "key", "n", "least", "all", F.monotonically_increasing_id().alias("row")).withColumn("lot", F.pmod(F.xxhash64("row"), F.ceil(F.col("n") / _ALIKE))), "many")
+    lots = many.groupBy("key", "lot").agg(F.count(F.lit(1)).alias("own"))
+    before = F.coalesce(F.sum("own").over(Window.partitionBy("key").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lots = lots.select("key", "lot", before.alias("before"))
+    place = F.col("before") + F.row_number().over(Window.partitionBy("key", "lot").orderBy("row"))
+    # The copies of one row and another alike differ by one at most.
+    copies = F.col("least") + F.when(place <= F.col("all") - F.col("n") * F.col("least"), 1).otherwise(0)
+    return out.unionByName(taken(many.join(lots, ["key", "lot"]).withColumn("copies", copies)))

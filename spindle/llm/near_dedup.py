@@ -24,8 +24,10 @@ SAMPLES, BITS, WHOLE = 4096, 4096, 2048
 #: How far an estimate may lie below the bound, five deviations at the worst size (0.0092 and 0.0043) and more: of samples,
 #: and of whole sets.
 MARGIN, WHOLE_MARGIN = 0.05, 0.025
-#: Members of a bucket that one task compares with as many others at a time, and most pairs that it lists in a round.
-BLOCK, PORTION = 1024, 8192
+#: Members of a bucket that one task compares with as many others at a time, and shingles that they have together, about.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+#: A bucket with more members outside its largest component is parted by a second set of bands.
+HOT = 32 * BLOCK
 
 
 @lru_cache(maxsize=8)
@@ -106,7 +108,8 @@ def _likely(sketch_a: str, sketch_b: str, percent: int) -> Column:
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """Per row of ``doc_id, text``: ``doc_id, n, set_hash, bands, sketch, k``; null beyond ``n`` where the set is empty."""
+    """Per row of ``doc_id, text, digest``: ``doc_id, digest, n, set_hash, bands, sketch, k``; null beyond ``n`` where the set is
+    empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -118,85 +121,153 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                     for x in (hashes, bands, sketches, ks):
                         x.append(None)
                     continue
-                hashes.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
+                hashes.append(_set_hash(h))
                 bands.append(band_keys(h))
                 s, k = odd_sketch(h)
                 sketches.append(s)
                 ks.append(k)
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(hashes, pa.binary()), pa.array(bands, longs), pa.array(sketches, longs), pa.array(ks, pa.int32())], ["doc_id", "n", "set_hash", "bands", "sketch", "k"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(ns, pa.int64()), pa.array(hashes, pa.binary()), pa.array(bands, longs), pa.array(sketches, longs), pa.array(ks, pa.int32())], ["doc_id", "digest", "n", "set_hash", "bands", "sketch", "k"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, set_hash binary, bands array<long>, sketch array<long>, k int")
+    return docs.mapInArrow(run, "doc_id long, digest binary, n long, set_hash binary, bands array<long>, sketch array<long>, k int")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _set_hash(h: np.ndarray) -> bytes:
+    return hashlib.blake2b(h.tobytes(), digest_size=16).digest()
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``cid, hashes``: the sorted shingle hashes of each row of ``wanted``, which has ``cid, doc_id, set_hash, alone``.
+
+    ``alone`` tells that no other row has the same set; of the others, several rows of ``docs`` may match.
+    """
+    found = docs.select("doc_id", "text").join(maybe_broadcast(wanted, wanted.count()), "doc_id").select("cid", "set_hash", "alone", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [shingle_set(t, words) for t in batch.column(3).to_pylist()]
+            same = pa.array([_set_hash(h) == want for h, want in zip(sets, batch.column(1).to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([h.tobytes() for h in sets], pa.binary())], ["cid", "alone", "hashes"]).filter(same)
+
+    sets = written(found.mapInArrow(run, "cid long, alone boolean, hashes binary"), "found")
+    once = sets.filter("not alone").groupBy("cid").agg(F.first("hashes").alias("hashes"))
+    out = written(sets.filter("alone").select("cid", "hashes").unionByName(once), "sets")
+    discard(sets)
+    return out
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full shingle sets have 100 * intersection >= percent * union. ``pairs`` is a written table.
 
-    Partners of one ``b`` come in lots of about BLOCK, each behind the text of ``b``: a document with very many partners
-    is dealt to many tasks, and its text is sent and hashed once a lot.
+    Partners of one ``b`` come in lots of about BLOCK, each behind the set of ``b``: a document with very many partners
+    is dealt to many tasks, and its set is sent once a lot.
     """
-    ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
-    texts = docs.join(maybe_broadcast(ids, ids.count()), "doc_id", "left_semi")
     lots = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("lots"))
-    others = pairs.join(lots, "b").select("b", F.pmod(F.xxhash64("a"), F.col("lots")).cast("int").alias("lot"), F.col("a").alias("doc_id"))
-    own = lots.select("b", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot")).join(texts.withColumnRenamed("doc_id", "b"), "b")
+    others = pairs.join(lots, "b").select("b", F.pmod(F.xxhash64("a"), F.col("lots")).cast("int").alias("lot"), F.col("a").alias("cid"))
+    own = lots.select("b", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot")).join(sets.withColumnRenamed("cid", "b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         set_b = np.zeros(0, U)
         for batch in slices(batches):
             keep = []
-            for b, a, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
-                h = shingle_set(text.as_py(), words)
+            for a, held in zip(batch.column(2).to_pylist(), batch.column(3)):
+                h = np.frombuffer(held.as_py(), U)
                 if a is None:
                     set_b = h
-                    keep.append(False)
-                    continue
-                both = np.concatenate([h, set_b])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(both) - common))
+                keep.append(a is not None and _near(h, set_b, percent))
             yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    rows = others.join(texts, "doc_id").select("b", "lot", F.col("doc_id").alias("a"), "text").unionByName(own.select("b", "lot", F.lit(None).cast("long").alias("a"), "text"))
+    rows = others.join(sets, "cid").select("b", "lot", F.col("cid").alias("a"), "hashes").unionByName(own.select("b", "lot", F.lit(None).cast("long").alias("a"), "hashes"))
     return rows.repartition("b", "lot").sortWithinPartitions("b", "lot", F.asc_nulls_first("a")).mapInArrow(run, "a long, b long")
 
 
+def _near(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = np.concatenate([x, y])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
+def _open_members(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """``key, sub, cid, component``: the members of buckets that hold several components.
+
+    In a bucket of more than HOT members outside its largest component, which dissimilar sets with something in common
+    may fill, each member takes a row for each band of a second, independent set: near sets share one of those nearly
+    certainly, others seldom, so such a bucket is not compared as a whole.
+    """
+    known = labels.select(F.col("node").alias("cid"), "component")
+    placed = members.join(known, "cid", "left").select("key", "cid", F.coalesce("component", "cid").alias("component"))
+    placed = written(placed, "placed")
+    sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.sum("m").alias("all"), F.max("m").alias("main"))
+    parted = written(sizes.filter("all > main").select("key", (F.col("all") - F.col("main") > HOT).alias("hot")), "parted")
+    opened = placed.join(parted, "key")
+    plain = opened.filter("not hot").select("key", F.lit(0).cast("long").alias("sub"), "cid", "component")
+    if parted.filter("hot").isEmpty():
+        return written(plain, "open")
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            keys = [band_keys(np.sort(mixed(np.frombuffer(h.as_py(), U) ^ U(0xA0761D6478BD642F)))) for h in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], ["cid", "subs"])
+
+    hot = opened.filter("hot")
+    subs = sets.join(hot.select("cid").distinct(), "cid", "left_semi").select("cid", "hashes").mapInArrow(second, "cid long, subs array<long>")
+    dealt = written(hot.join(subs, "cid").select("key", F.explode("subs").alias("sub"), "cid", "component"), "dealt")
+    several = dealt.groupBy("key", "sub").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key", "sub")
+    return written(plain.unionByName(dealt.join(several, ["key", "sub"], "left_semi")), "open")
+
+
 def _runs(rest: DataFrame, percent: int) -> DataFrame:
-    """The members of open buckets, a row for each pair of blocks that a member is part of: ``key, lo, hi, mine`` and its own
-    columns.
+    """The members of open buckets, a row for each pair of blocks that a member is part of: ``key, sub, lo, hi, mine`` and
+    its own columns.
 
     Sizes are classed by powers of the bound, as sets of classes that aren't neighbours can't be near. The largest
-    component of a bucket and the rest are dealt apart, both in blocks of about BLOCK: blocks of the largest component meet
-    those of the rest only, so a bucket of very many copies and a few others costs one row each, and not one for each block.
+    component of a bucket and the rest are dealt apart, both in blocks of about BLOCK members and BLOCK_SHINGLES: blocks
+    of the largest component meet those of the rest only, so a bucket of very many copies and a few others costs one row
+    each, and not one for each block.
     """
     step = -math.log(percent / 100)
     size_class = F.floor(F.log(F.col("n")) / F.lit(step)) if step else F.col("n")
-    in_key = rest.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
-    d = rest.join(in_key, "key").withColumn("unit", (size_class * 2 + F.when(F.col("component") == F.col("main"), 0).otherwise(1)).cast("long"))
-    units = d.groupBy("key", "unit").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    other = units.select(F.col("key").alias("__key"), F.col("unit").alias("other"), F.col("blocks").alias("others"))
+    in_key = rest.groupBy("key", "sub", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("key", "sub").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
+    d = rest.join(in_key, ["key", "sub"]).withColumn("unit", (size_class * 2 + F.when(F.col("component") == F.col("main"), 0).otherwise(1)).cast("long"))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    units = d.groupBy("key", "sub", "unit").agg(blocks.alias("blocks"))
+    other = units.select(F.col("key").alias("__key"), F.col("sub").alias("__sub"), F.col("unit").alias("other"), F.col("blocks").alias("others"))
     near = (F.abs(F.floor(F.col("unit") / 2) - F.floor(F.col("other") / 2)) <= 1) & ((F.col("unit") % 2 == 1) | (F.col("other") % 2 == 1))
-    partners = units.join(other, (F.col("key") == F.col("__key")) & near).drop("__key")
-    d = d.join(partners, ["key", "unit"]).withColumn("__block", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    partners = units.join(other, (F.col("key") == F.col("__key")) & (F.col("sub") == F.col("__sub")) & near).drop("__key", "__sub")
+    d = d.join(partners, ["key", "sub", "unit"]).withColumn("__block", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
     code = lambda unit, block: F.shiftleft(F.col(unit), 31) + block
     d = d.withColumn("mine", code("unit", F.pmod(F.xxhash64("cid"), F.col("blocks")))).withColumn("theirs", code("other", F.col("__block")))
-    return d.select("key", F.least("mine", "theirs").alias("lo"), F.greatest("mine", "theirs").alias("hi"), "mine", "cid", "component", "n", "k", "bands", "sketch")
+    return d.select("key", "sub", F.least("mine", "theirs").alias("lo"), F.greatest("mine", "theirs").alias("hi"), "mine", "cid", "component", "n", "k", "bands", "sketch", "hashes")
 
 
-def _near_pairs(runs: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Pairs between components that the sketches leave open, ``key, lo, hi, a, b, more``; each run is compared in one task.
+def _links(runs: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between components: a spanning forest of them for each run, which one task compares.
 
-    A pair counts in the first band that it shares only. With ``forest``, a run gives a spanning forest of its most similar
-    pairs. Without, it gives the next PORTION pairs in order after ``after_a, after_b``; ``more`` tells that some may follow.
+    Sketches name the pairs that may be near, each in the first band that it shares only. The most similar ones are
+    confirmed first, on the full sets that the rows carry; a pair whose ends are joined already isn't looked at.
     """
 
-    most = PORTION
-
     def compare(rows: list[tuple]) -> list[tuple]:
-        key, lo, hi = rows[0][:3]
-        mine, cid, comp, n, k = (np.array([r[c] for r in rows]) for c in range(3, 8))
-        bands, sketch = np.array([r[8] for r in rows]), np.array([r[9] for r in rows]).view(U)
-        after, found = rows[0][10:12], []
+        key, _, lo, hi = rows[0][:4]
+        mine, cid, comp, n, k = (np.array([r[c] for r in rows]) for c in range(4, 9))
+        bands, sketch = np.array([r[9] for r in rows]), np.array([r[10] for r in rows]).view(U)
+        root = {c: c for c in comp.tolist()}
+        tree: list[tuple] = []
+
+        def top(c):
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        def joined(found: list[tuple]) -> None:
+            for _, i, j in sorted(found):
+                x, y = top(int(comp[i])), top(int(comp[j]))
+                if x != y and _near(np.frombuffer(rows[i][11], U), np.frombuffer(rows[j][11], U), percent):
+                    root[x] = y
+                    tree.append((int(cid[i]), int(cid[j])))
+
+        found: list[tuple] = []
         for i in np.flatnonzero(mine == lo).tolist():
             j = np.flatnonzero((mine == hi) & (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])))
             j = j[j > i] if lo == hi else j
@@ -208,42 +279,20 @@ def _near_pairs(runs: DataFrame, percent: int, forest: bool) -> DataFrame:
             j, est = j[near], est[near]
             if len(j):
                 first = bands[i][(bands[j] == bands[i]).argmax(1)] == key
-                found += [(-e, min(cid[i], cid[x]), max(cid[i], cid[x]), i, x) for e, x in zip(est[first].tolist(), j[first].tolist())]
-            if not forest and len(found) > 4 * most:
-                found = portion(found, after)
-        if not forest:
-            found = portion(found, after)
-            return [(key, lo, hi, a, b, len(found) > most) for _, a, b, *_ in found[:most]]
-        root = {c: c for c in comp.tolist()}
-
-        def top(c):
-            while root[c] != c:
-                root[c] = c = root[root[c]]
-            return c
-
-        tree = []
-        for _, a, b, i, j in sorted(found):
-            x, y = top(int(comp[i])), top(int(comp[j]))
-            if x != y:
-                root[x] = y
-                tree.append((key, lo, hi, a, b, False))
+                found += [(-e, i, x) for e, x in zip(est[first].tolist(), j[first].tolist())]
+            if len(found) > 64 * BLOCK:
+                joined(found)
+                found = []
+        joined(found)
         return tree
 
-    def portion(found: list[tuple], after: tuple) -> list[tuple]:
-        """The first pairs in order after the last portion, one more than a portion if there are."""
-        return sorted((f for f in found if after[0] is None or f[1:3] > after), key=lambda f: f[1:3])[: most + 1]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-
-        def out(rows: list[tuple]) -> pa.RecordBatch:
-            kinds = [pa.int64()] * 5 + [pa.bool_()]
-            return pa.RecordBatch.from_arrays([pa.array([r[c] if c == 5 else int(r[c]) for r in rows], kind) for c, kind in enumerate(kinds)], ["key", "lo", "hi", "a", "b", "more"])
-
+        out = lambda links: pa.RecordBatch.from_arrays([pa.array([x[c] for x in links], pa.int64()) for c in (0, 1)], ["a", "b"])
         for batch in slices(batches):
             found = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and held[-1][:3] != row[:3]:
+                if held and held[-1][:4] != row[:4]:
                     found += compare(held)
                     held = []
                 held.append(row)
@@ -251,7 +300,7 @@ def _near_pairs(runs: DataFrame, percent: int, forest: bool) -> DataFrame:
         if held:
             yield out(compare(held))
 
-    return runs.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(run, "key long, lo long, hi long, a long, b long, more boolean")
+    return runs.repartition("key", "sub", "lo", "hi").sortWithinPartitions("key", "sub", "lo", "hi").mapInArrow(run, "a long, b long")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -260,25 +309,33 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     Documents are linked when 100 * intersection >= percent * union of their sets of word shingles; ``component_id`` is
     the smallest id that links reach, and the document of that id is kept.
 
-    Equal sets collapse to a class first. MinHash bands deal the classes into buckets. Every member of a bucket is
-    compared with the bucket's smallest class: odd sketches, whose XOR counts estimate high similarities closely, drop
-    what is clearly below, and full shingle sets confirm the rest. Components of these links settle most buckets; in
-    those that still hold several components, all pairs between components are compared by sketch, in bounded blocks.
-    A spanning forest of the most similar pairs is listed and confirmed first; then what the sketches still leave open,
-    in bounded portions: what a portion confirms joins components, and their pairs are not listed any more. So no link
-    between different components is lost for want of a comparison, and pairs inside a component are never listed.
-    Sets are sets of 64-bit hashes of the shingles.
+    Equal sets collapse to one row first, so that copies, repeated rows included, are compared once. MinHash bands deal
+    these into buckets. Every member of a bucket is compared with the bucket's first: odd sketches, whose XOR counts
+    estimate high similarities closely, drop what is clearly below, and full shingle sets confirm the rest. Components of
+    these links settle most buckets; in those that still hold several components, all pairs between components are
+    compared by sketch in bounded blocks, and confirmed there until all that is near is joined. So no link between
+    different components is lost for want of a comparison, and pairs inside a component are never listed. The texts are
+    read twice: for the signatures, and for the full sets of what shares a bucket. Sets are sets of 64-bit hashes of the
+    shingles.
 
     Null text is an empty set, and empty sets link with nothing. Ids name documents: rows that repeat id and text get the
-    same result, and a row without an id stays alone, with null ``component_id``, and is kept. An empty table gives no
-    rows; extra columns are not read.
+    same result; an id with several texts has a row, and a group, for each. A row without an id stays alone, with null
+    ``component_id``, and is kept. An empty table gives no rows; extra columns are not read.
     """
+    return _grouped(docs, id_col, text_col, words, percent).drop("digest")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, digest: bool = False) -> DataFrame:
+    """:func:`groups`, and the SHA-256 of the text if ``digest``."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    sigs = written(signatures(d, words), "signatures")
+    d = d.select("*", (F.unhex(F.sha2("text", 256)) if digest else F.lit(None).cast("binary")).alias("digest"))
+    sigs = written(signatures(d, words).withColumn("row", F.monotonically_increasing_id()), "signatures")
     named = sigs.filter("n > 0 and doc_id is not null")
-    classes = written(named.groupBy("set_hash").agg(F.min("doc_id").alias("cid"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies"), "classes")
+    # A set that several rows have is named by the row of the least id.
+    classes = named.groupBy("set_hash").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    classes = written(classes.select("set_hash", F.col("first.row").alias("cid"), F.col("first.doc_id").alias("least")), "classes")
     classes = maybe_broadcast(classes, classes.count())
-    reps = named.join(classes, "set_hash", "left").filter("cid is null or cid = doc_id").select(F.col("doc_id").alias("cid"), "n", "k", "bands", "sketch")
+    reps = named.join(classes, "set_hash", "left").filter("cid is null or cid = row").select(F.col("row").alias("cid"), "doc_id", "set_hash", F.col("cid").isNull().alias("alone"), "n", "k", "bands", "sketch")
     bands = reps.select("cid", F.explode("bands").alias("key"))
     buckets = bands.groupBy("key").agg(F.min("cid").alias("rep"), F.max("cid").alias("far"), F.count(F.lit(1)).alias("size")).filter("rep < far").drop("far")
     members = written(bands.join(buckets, "key"), "members")
@@ -286,46 +343,39 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     stars = members.filter("cid <> rep").select(F.col("cid").alias("a"), F.col("rep").alias("b")).distinct()
     stars = stars.join(side("a"), "a").join(side("b"), "b").filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     stars = written(stars.filter(_likely("s_a", "s_b", percent)).select("a", "b"), "stars")
-    links = written(confirmed(stars, d, words, percent), "confirmed")
+    several = members.filter("size > 2").select("key", "cid")
+    compared = written(stars.select(F.col("a").alias("cid")).union(stars.select("b")).union(several.select("cid")).distinct(), "compared")
+    wanted = written(reps.join(maybe_broadcast(compared, compared.count()), "cid", "left_semi").select("cid", "doc_id", "set_hash", "alone"), "wanted")
+    sets = shingle_sets(d, wanted, words)
+    links = written(confirmed(stars, sets, percent), "confirmed")
     labels = components(links)
-    several = members.filter("size > 2").drop("size")
-    discard(stars)
-    forest, after = True, None
-    while True:
-        known = labels.select(F.col("node").alias("cid"), "component")
-        placed = several.join(known, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-        placed = written(placed.select("key", "cid", "component"), "placed")
-        parted = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key")
-        runs = _runs(placed.join(parted, "key", "left_semi").join(reps, "cid"), percent)
-        if after is None:
-            runs = runs.withColumns({c: F.lit(None).cast("long") for c in ("after_a", "after_b")})
-        else:
-            runs = runs.join(after, ["key", "lo", "hi"])
-        cols = ["key", "lo", "hi", "mine", "cid", "component", "n", "k", "bands", "sketch", "after_a", "after_b"]
-        near = written(_near_pairs(runs.select(*cols), percent, forest), "near")
-        discard(placed)
-        more = written(near.select("a", "b").distinct(), "candidates")
-        if not more.isEmpty():
-            new = written(confirmed(more, d, words, percent), "confirmed")
-            if not new.isEmpty():
-                links = links.union(new)
-                labels = components(links)
-        if not forest:
-            after = near.filter("more").groupBy("key", "lo", "hi").agg(F.max(F.struct("a", "b")).alias("last"))
-            after = written(after.select("key", "lo", "hi", F.col("last.a").alias("after_a"), F.col("last.b").alias("after_b")), "after")
-        discard(near)
-        if more.isEmpty() or (not forest and after.isEmpty()):
-            break
-        forest = False
-    known = labels.select(F.col("node").alias("cid"), "component")
-    out = sigs.select("doc_id", "n", "set_hash").join(classes, "set_hash", "left").withColumn("cid", F.coalesce("cid", "doc_id")).join(known, "cid", "left")
-    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "cid"))
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
+    opened = _open_members(several, labels, sets)
+    rest = opened.join(reps.select("cid", "n", "k", "bands", "sketch"), "cid").join(sets, "cid")
+    more = written(_links(_runs(rest, percent), percent), "more")
+    discard(stars, compared, opened)
+    if not more.isEmpty():
+        links = links.union(more)
+        labels = components(links)
+    # The nodes are rows; a component is called by the least id in it.
+    ids = wanted.select(F.col("cid").alias("node"), "doc_id")
+    placed = written(labels.join(ids, "node"), "labels")
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    known = placed.join(least, "component").select(F.col("node").alias("cid"), "component_id")
+    out = sigs.select("doc_id", "digest", "n", "set_hash", "row").join(classes, "set_hash", "left")
+    out = out.select("doc_id", "digest", "n", F.coalesce("least", "doc_id").alias("least"), F.coalesce("cid", "row").alias("cid")).join(known, "cid", "left")
+    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component_id", "least"))
+    out = out.select("doc_id", "digest", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that :func:`groups` keeps: one document of each group, with all columns."""
-    gone = groups(docs, id_col, text_col, words, percent).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    """The rows of ``docs`` that :func:`groups` keeps, with all columns: one document of each group.
+
+    Rows go by id and text, so an id with several texts loses those only that another document stands for. Rows without
+    an id stay; rows that repeat id and text stay or go together. An empty table gives no rows; columns of any name are
+    kept.
+    """
+    gone = _grouped(docs, id_col, text_col, words, percent, digest=True).filter("not kept").select("doc_id", "digest").distinct()
     gone = written(gone, "gone")
-    return docs.join(maybe_broadcast(gone, gone.count()), docs[id_col] == F.col("__gone"), "left_anti")
+    own = F.unhex(F.sha2(F.coalesce(docs[text_col], F.lit("")), 256))
+    return docs.join(maybe_broadcast(gone, gone.count()), (docs[id_col].cast("long") == gone["doc_id"]) & (own == gone["digest"]), "left_anti")

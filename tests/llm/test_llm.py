@@ -349,6 +349,21 @@ def test_mix_meets_targets(spark):
     assert len({x.taken for x in got if x.doc_id == 7 and x.source == "a"}) == 2
 
 
+def test_apply_mix_takes_what_the_mix_says(spark):
+    """Repeated ids, equal rows of one, null ids, and one id in two sources."""
+    rows = [(7, "w " * 5, "a")] * 9000 + [(None, "w " * k, "b") for k in range(1, 200)] + [(7, "w " * 5, "b"), (7, "w", "a"), (8, None, None), (9, "w w", None)] + [(k, "w " * 30, "c") for k in range(100, 160)]
+    df = table(spark, rows).withColumns({c: F.lit(1) for c in ("__id", "__copies", "copies", "doc", "row", "lot")})
+    for docs in (df, df.filter("doc_id >= 100")):
+        mixed = mix_sources.mix(docs)
+        out = mix_sources.apply_mix(docs, mixed)
+        assert out.columns == docs.columns
+        words = mix_sources.n_words()
+        got = {tuple(r)[:3]: r.taken for r in out.groupBy("doc_id", "source", words.alias("size")).agg(F.sum(words).alias("taken")).collect()}
+        want = {tuple(r)[:3]: r.taken for r in mixed.groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken")).filter("taken > 0").collect()}
+        assert got == want
+    assert mix_sources.apply_mix(df.limit(0), mix_sources.mix(df.limit(0))).collect() == []
+
+
 # ---- 8 ----
 
 
@@ -541,37 +556,77 @@ def test_near_dedup_blocks(spark, monkeypatch):
     assert got == brute_components(rows, 3, 85)
 
 
-def test_near_dedup_portions(spark, monkeypatch):
-    """Many sets just below the bound in one bucket: candidates come in portions, and no more rows than the blocks need."""
-    monkeypatch.setattr(near_dedup, "BLOCK", 8)
-    monkeypatch.setattr(near_dedup, "PORTION", 5)
+def unlinked(n, words=400, own=6):
+    """Texts with words of their own in places of their own: all share most bands and every pair is just below 0.85."""
     rows = []
-    for i in range(20):  # each has words of its own in places of its own: every pair has similarity 0.834, which the sketches leave open
-        own = [f"v{k}" for k in range(400)]
-        for k in range(6):
-            own[(6 * i + k) * 3 + 1] = f"x{i}"
-        rows.append((i, " ".join(own)))
+    for i in range(n):
+        text = [f"v{k}" for k in range(words)]
+        for k in range(own):
+            text[(own * i + k) * 3 % words] = f"x{i}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("hot", [1 << 20, 5])
+def test_near_dedup_unlinked_in_one_bucket(spark, monkeypatch, hot):
+    """Also where a hot bucket is parted by the second bands: the same components, and no more rows than the blocks need."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "HOT", hot)
+    rows = unlinked(20)
     rows += [(100 + i, rows[i][1] + " end") for i in range(3)]
-    seen, before = [], near_dedup._near_pairs
+    seen, before = [], near_dedup._runs
 
-    def listed(runs, percent, forest):
-        out = before(runs, percent, forest)
-        seen.append((forest, max([r["count"] for r in out.groupBy("key", "lo", "hi").count().collect()], default=0), runs.count()))
+    def listed(rest, percent):
+        out = before(rest, percent)
+        seen.append(out.count())
         return out
 
-    monkeypatch.setattr(near_dedup, "_near_pairs", listed)
+    monkeypatch.setattr(near_dedup, "_runs", listed)
     got = {x.doc_id: (x.n_shingles, x.component_id) for x in near_dedup.groups(table(spark, [(i, t, None) for i, t in rows]), words=3, percent=85).collect()}
     assert got == brute_components(rows, 3, 85)
-    assert len(seen) > 2 and seen[0][0] and not seen[1][0]
-    assert all(most <= (16 if forest else 5) for forest, most, _ in seen)
-    assert seen[0][2] <= 32 * 23 * 8  # bands, members, blocks of either kind
+    assert len(seen) == 1 and 0 < seen[0] <= 32 * 23 * (8 if hot > 5 else 32)  # bands, members, blocks of either kind or second bands
+
+
+def test_repeated_rows_are_compared_once(spark, monkeypatch):
+    """Two near texts, each 400 times, and 2,000 unlinked ones with the same beginning: pairs don't grow with the rows."""
+    seen, before = [], near_dedup.confirmed
+
+    def listed(pairs, sets, percent):
+        seen.append((pairs.count(), sets.count()))
+        return before(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dedup, "confirmed", listed)
+    base = " ".join(f"w{i}" for i in range(200))
+    rows = [(1, base), (2, base + " end")] * 400 + [(None, base)] * 50 + [(2, "another text of the same id"), (1, base + " end")]
+    got = near_dedup.groups(table(spark, [(i, t, None) for i, t in rows])).collect()
+    assert len(got) == len(rows) and seen == [(1, 2)]
+    assert sorted({(r.doc_id or 0, r.component_id, r.n_shingles, r.kept) for r in got}, key=str) == sorted([(0, None, 196, True), (1, 1, 196, True), (1, 1, 197, True), (2, 1, 197, False), (2, 2, 2, True)], key=str)
+
+
+def test_many_unlinked_sets_in_a_bucket(spark, monkeypatch):
+    """5,000 classes that share all bands of their common half: one round, and rows by blocks, not by pairs."""
+    rest = spark.range(5000).selectExpr("1L as key", "0L as sub", "id as cid", "id as component", "200L as n", "200 as k", "array(0L) as bands", "array(0L) as sketch", "cast('' as binary) as hashes")
+    assert near_dedup._runs(rest, 85).count() <= 5000 * 6  # five blocks, and the largest component
+
+
+@pytest.mark.parametrize("dedup", [exact_dedup.dedup, near_dedup.dedup])
+def test_dedup_goes_by_id_and_text(spark, dedup):
+    long_ = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long_, None), (2, long_, None), (2, "another text of this id that stands alone", None), (None, "only here", None), (None, long_, None), (7, "", None), (8, None, None)]
+    df = table(spark, rows).withColumns({c: F.lit(1) for c in ("__gone", "__id", "digest", "row", "cid")})
+    kept = dedup(df)
+    assert kept.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    want = {exact_dedup.dedup: [(2, long_), rows[2][:2], rows[3][:2], (8, None)], near_dedup.dedup: [(1, long_), rows[2][:2], rows[3][:2], (None, long_), (7, ""), (8, None)]}[dedup]
+    assert got == sorted(want, key=str)
+    assert dedup(df.limit(0)).collect() == []
 
 
 def test_runs_spare_the_largest_component(spark, monkeypatch):
     """A bucket of many linked members and a few others: a row for each member, not one for each block."""
     monkeypatch.setattr(near_dedup, "BLOCK", 10)
-    members = [(1, k, 0 if k < 1000 else k, 50 + k % 3) for k in range(1003)]
-    rest = spark.createDataFrame([(*m, 50, [0], [0]) for m in members], "key long, cid long, component long, n long, k int, bands array<long>, sketch array<long>")
+    members = [(1, 0, k, 0 if k < 1000 else k, 50 + k % 3) for k in range(1003)]
+    rest = spark.createDataFrame([(*m, 50, [0], [0], b"") for m in members], "key long, sub long, cid long, component long, n long, k int, bands array<long>, sketch array<long>, hashes binary")
     assert near_dedup._runs(rest, 85).count() < 1000 * 3 + 3 * 200
 
 
