@@ -22,10 +22,11 @@ def edit_prompt(old: Column, instruction: Column, new: Column, before: str | Non
     return F.concat(edit_prompt_text(old, instruction), new)
 
 
-def format_records(df: DataFrame, layout: str = "share_gpt", seed: int = 42, row_key: tuple[str, ...] = ("commit", "instr_type"), language: str = "python", system: str = SYSTEM, no_thinking_tag: bool = False) -> DataFrame:
+def format_records(df: DataFrame, layout: str = "share_gpt", seed: int = 42, row_key: tuple[str, ...] = ("commit", "instr_type"), language: str = "python", system: str = SYSTEM, no_thinking_tag: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """``mixed`` records as fine-tuning records.
 
     About half of the prompts fence the old code, by the parity of a hash of seed and key. The answer is always fenced.
+    Columns named in ``keep`` come first, as they are.
     """
     if layout not in ("alpaca", "share_gpt"):
         raise ValueError(f"unknown layout {layout!r}")
@@ -38,6 +39,6 @@ def format_records(df: DataFrame, layout: str = "share_gpt", seed: int = 42, row
     answer = fenced(new, language)
     meta = [text("commit").alias("commit"), F.coalesce("instr_type", F.lit("unknown")).alias("instr_type"), old.alias("old_code"), new.alias("new_code")]
     if layout == "alpaca":
-        return df.select(user.alias("instruction"), F.lit(system).alias("system"), answer.alias("output"), *meta)
+        return df.select(*keep, user.alias("instruction"), F.lit(system).alias("system"), answer.alias("output"), *meta)
     turn = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
-    return df.select(F.array(turn("system", F.lit(system)), turn("user", user), turn("assistant", answer)).alias("messages"), *meta)
+    return df.select(*keep, F.array(turn("system", F.lit(system)), turn("user", user), turn("assistant", answer)).alias("messages"), *meta)

@@ -14,6 +14,7 @@ from .functions.code_tokens import CODE_STOP_WORDS, code_tokens, split_edit_prom
 from .functions.diff import unified_diff
 from .functions.text import seeded, split_identifier, splitlines, word_tokens
 from .operators import balance, extract, finetune, generate, mix, seeds, stats
+from .operators.edits import line_edits
 from .operators.topics import TopicModel
 from .plans import pipelines
 from .sources import jsonl, sinks
@@ -33,9 +34,7 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
 
 def edits(spark: SparkSession, d: str) -> DataFrame:
     """Old and new text of each document: its distinct lines, and those of them whose hash doesn't begin with 0."""
-    x = _docs(spark, d).select("doc_id", "lang", F.array_distinct(splitlines("text")).alias("lines"))
-    kept = F.filter("lines", lambda line, i: F.substring(F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), (i + 1).cast("string"))), 1, 1) != "0")
-    return x.select("doc_id", "lang", F.array_join("lines", "\n").alias("code_before_purify"), F.array_join(kept, "\n").alias("code_after_purify"))
+    return line_edits(_docs(spark, d).select("doc_id", "lang", "text"), "doc_id", "text").drop("text")
 
 
 def responses(spark: SparkSession, d: str) -> DataFrame:
@@ -556,6 +555,10 @@ def dt_filter_topics(spark, d):
     return pipelines.dt_filter(mixed, jsonl.FilterConfig("", [], "general", SEED, 70, 7, 200), "doc_id").select("doc_id")
 
 
+#: Pieces of SQL that the jobs' queries share.
+LINES_SQL, SNIPPET_SQL, TEXTS_SQL, fill_sql = _LINES, _SNIPPET, _DIFF_TEXT, _fill_sql
+
+
 # ---- Statistics ----
 
 _PAIRS_OF = "c AS (SELECT event_type AS verb, json_extract_string(props, '$.k') AS object, count(*) AS count FROM events GROUP BY ALL), v AS (SELECT verb FROM c GROUP BY verb ORDER BY sum(count) DESC, verb LIMIT 3), r AS (SELECT c.*, row_number() OVER (PARTITION BY verb ORDER BY count DESC, object) AS rn FROM c SEMI JOIN v USING (verb))"
