@@ -1,4 +1,4 @@
-"""Benchmark decontamination: counts of word pairs name candidate passages, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: the rarest word pairs of a test item join passages to it, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
@@ -45,23 +45,35 @@ def smith_waterman(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int
 
 
 class Items:
-    """A block of test items and their pairs of neighbouring words: every pair's digest in order, with its item."""
+    """A block of test items: ids, words, and seeds, one for each place of an item that has one."""
 
     def __init__(self, ids: list[int], texts: list[str]):
-        self.ids, self._least = ids, None
+        self.ids = ids
         self.words = [words(t) for t in texts]
         self.single = any(len(w) == 1 for w in self.words)
-        pairs = [_pairs_of(w) for w in self.words]
-        seed = np.concatenate([np.zeros(0, U), *pairs])
-        item = np.repeat(np.arange(len(pairs)), [len(x) for x in pairs])
+        self.seeds = [_pairs_of(w) for w in self.words]
+        self.distinct = np.unique(np.concatenate([np.zeros(0, U), *self.seeds]))
+
+
+class RareSeeds:
+    """The rarest seeds of each item in order of their digests, each with its item.
+
+    A passage that scores enough holds the seeds of at least k of an item's m places, so it holds one of any m - k + 1
+    of them: those that are rarest in the corpus are looked for, and no others. Seeds that it holds nowhere are left out.
+    """
+
+    def __init__(self, items: Items, counts: np.ndarray, least_score: float):
+        seed, item = [np.zeros(0, U)], [np.zeros(0, np.int64)]
+        for i, (w, own) in enumerate(zip(items.words, items.seeds)):
+            n = counts[np.searchsorted(items.distinct, own)]
+            rarest = np.lexsort((own, n))[: len(own) - least_hits(len(w), least_score) + 1] if len(own) else []
+            chosen = np.unique(own[rarest][n[rarest] > 0])
+            seed.append(chosen)
+            item.append(np.full(len(chosen), i))
+        seed, item = np.concatenate(seed), np.concatenate(item)
         order = np.argsort(seed, kind="stable")
         self.seed, self.item = seed[order], item[order]
-
-    def least(self, least_score: float) -> np.ndarray:
-        """Seeds of each item that a passage needs."""
-        if self._least is None or self._least[0] != least_score:
-            self._least = least_score, np.array([least_hits(len(w), least_score) for w in self.words], np.int64)
-        return self._least[1]
+        self.finder = _Finder(np.unique(self.seed))
 
 
 def _pairs_of(w: np.ndarray) -> np.ndarray:
@@ -98,54 +110,70 @@ class _Finder:
         return maybe[self.digests[at] == g[maybe]]
 
 
-def align(text_words: np.ndarray, items: Items, finder: _Finder, least_score: float) -> list[tuple]:
-    """Hits of one document: ``(item place, score share, begin, end)`` in words."""
-    if not len(finder.digests):
+def _grams_of(text_words: np.ndarray, single: bool) -> list[np.ndarray]:
+    """What of a text may be a seed: words next to each other, with one word between, and single ones if an item is one."""
+    return [grams(text_words, 2), mixed(text_words[:-2] * BASE + text_words[2:]), *([grams(text_words, 1)] if single else [])]
+
+
+def align(text_words: np.ndarray, items: Items, rare: RareSeeds, least_score: float) -> list[tuple]:
+    """Hits of one document: ``(item place, score share, begin, end)`` in words.
+
+    The rare seeds in the text are joined to their items; only what lies about one of an item's rare seeds is aligned.
+    """
+    if not len(rare.seed):
         return []
-    runs = [grams(text_words, 2), mixed(text_words[:-2] * BASE + text_words[2:]), *([grams(text_words, 1)] if items.single else [])]
-    found = [finder.places(g) for g in runs]
+    runs = _grams_of(text_words, items.single)
+    found = [rare.finder.places(g) for g in runs]
     g, where = np.concatenate([g[at] for g, at in zip(runs, found)]), np.concatenate(found)
-    lo, hi = np.searchsorted(items.seed, g, "left"), np.searchsorted(items.seed, g, "right")
+    if not len(g):
+        return []
+    lo, hi = np.searchsorted(rare.seed, g, "left"), np.searchsorted(rare.seed, g, "right")
     times = hi - lo
-    which = items.item[np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
+    which = rare.item[np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
     at = np.repeat(where, times)
-    count = np.bincount(which, minlength=len(items.words))
+    order = np.lexsort((at, which))
+    which, at = which[order], at[order]
+    bounds = np.flatnonzero(np.diff(which, prepend=-1))
     out = []
-    for i in np.flatnonzero(count >= items.least(least_score)):
-        w, k = items.words[i], items.least(least_score)[i]
+    for first, last in zip(bounds.tolist(), [*bounds[1:].tolist(), len(which)]):
+        i = int(which[first])
+        w = items.words[i]
         span = int(np.ceil((3 - 2 * least_score) * len(w)))  # the longest passage that scores enough
-        hits = np.sort(at[which == i])
-        first, last = hits[: len(hits) - k + 1], hits[k - 1 :]
-        dense = last - first <= span
-        if not dense.any():
-            continue
-        begin, end = np.maximum(last[dense] - span, 0), first[dense] + span + 2
+        begin, end = np.maximum(at[first:last] - span, 0), at[first:last] + span + 2
         cuts = np.flatnonzero(begin[1:] > end[:-1]) + 1
         best = (0, 0, 0)
         for a, b in zip(begin[np.append(0, cuts)].tolist(), end[np.append(cuts - 1, len(end) - 1)].tolist()):
             passage = text_words[a:b]
-            if np.isin(w, passage).sum() < least_score * len(w):
+            if np.isin(w, passage).sum() < least_score * len(w) or _held(items.seeds[i], passage, items.single) < least_hits(len(w), least_score):
                 continue
             s, x, y = smith_waterman(w, passage)
             best = max(best, (s, a + x, a + y))
         if best[0] >= least_score * MATCH * len(w):
-            out.append((int(i), best[0] / (MATCH * len(w)), best[1], best[2]))
+            out.append((i, best[0] / (MATCH * len(w)), best[1], best[2]))
     return out
 
 
+def _held(seeds: np.ndarray, passage: np.ndarray, single: bool) -> int:
+    """Places of an item whose seed a passage holds."""
+    return int(np.isin(seeds, np.concatenate(_grams_of(passage, single))).sum())
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least_score: float = LEAST_SCORE, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """One row per document and test item that it holds: ``doc_id, item_id, score, begin, end``.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. An item's seeds are its pairs of neighbouring words, which may
-    stand in a document next to each other or with one word between. A passage that holds as many seeds as any that scores
-    ``least_score`` must hold (:func:`least_hits`) is aligned with the item; ``score`` is the alignment's share of the
-    item's own score, so edited and partly rewritten copies count from ``least_score`` on, and from 0.5 on none that the
-    alignment accepts is passed over. The items go to every worker, and nothing is shuffled.
+    stand in a document next to each other or with one word between. One pass counts them in all documents. A passage
+    that scores ``least_score`` holds a certain number of an item's seeds at least (:func:`least_hits`), and so one of its
+    rarest (:class:`RareSeeds`): these join passages to items in the second pass, and what lies about them is
+    aligned with the item. ``score`` is the alignment's share of the item's own score, so edited and partly rewritten
+    copies count from ``least_score`` on, and from 0.5 on none that the alignment accepts is passed over. The items and
+    their rare seeds go to every worker, and only counts of seeds are shuffled.
 
     The test items are a stated query set: blocks of ``block_items`` of them are compared with all documents, one block
-    after another, so what goes to the workers is bounded. Items of one or two words count where
-    all their words stand as a seed does. Null texts are empty; null item ids are kept as null; rows that repeat are compared alike; with no documents
-    or no items there are no rows; extra columns are not read.
+    after another, so what goes to the workers is bounded. Items of one or two words count where all their words stand as
+    a seed does. An alignment takes time in the item's length times the passage's. Null texts are empty; null item ids are
+    kept as null; rows that repeat are compared alike; with no documents or no items there are no rows; extra columns are
+    not read.
     """
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
@@ -175,19 +203,43 @@ def _item_blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_
     for block in blocks:
         held = block.collect()
         items = Items([r.item_id for r in held], [r.text for r in held])
-        if len(items.seed):
+        if len(items.distinct):
             yield items
 
 
+def seed_counts(d: DataFrame, items: Items) -> np.ndarray:
+    """How often each of the block's distinct seeds stands in the texts of ``d``, summed per task and then by seed."""
+    sent = d.sparkSession.sparkContext.broadcast((items.distinct, items.single))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        distinct, single = sent.value
+        finder, n = _Finder(distinct), np.zeros(len(distinct), np.int64)
+        for batch in slices(batches):
+            for text in batch.column(0):
+                for g in _grams_of(words(text.as_py()), single):
+                    n += np.bincount(np.searchsorted(distinct, g[finder.places(g)]), minlength=len(n)) if len(g) else 0
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], ["seed", "n"])
+
+    counts = np.zeros(len(items.distinct), np.int64)
+    for r in d.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect():  # a row a seed of the block
+        counts[r.seed] = r.n
+    return counts
+
+
 def _finder(d: DataFrame, items: Items, least_score: float) -> Callable[[str], list[tuple]]:
     """The search of one text, for use in tasks."""
     sc = d.sparkSession.sparkContext
-    sent_items, sent_finder = sc.broadcast(items), sc.broadcast(_Finder(np.unique(items.seed)))
-    return lambda text: align(words(text), sent_items.value, sent_finder.value, least_score)
+    sent_items, sent_rare = sc.broadcast(items), sc.broadcast(RareSeeds(items, seed_counts(d, items), least_score))
+    return lambda text: align(words(text), sent_items.value, sent_rare.value, least_score)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least_score: float = LEAST_SCORE, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """The rows of ``docs`` that hold no test item, with all columns: each is judged where it lies, and nothing is joined."""
+    """The rows of ``docs`` that hold no test item, with all columns: each is judged where it lies, and no row is joined.
+
+    Null and empty texts hold nothing and stay; rows that repeat are judged alike, ids don't count; without items or rows
+    the table comes back as it is. Columns of any name are kept. See :func:`find_leaks`.
+    """
     d, at = docs.select(text_or_empty(text_col).alias("text")), docs.columns.index(text_col)
     for items in _item_blocks(benchmark, item_col, item_text_col, block_items):
         find = _finder(d, items, least_score)

@@ -289,6 +289,35 @@ def test_decontaminate_finds_what_the_alignment_accepts(spark, copies):
     assert all(want[k, k // 14] > 0.6 for k in fourth)
 
 
+def test_common_pairs_cost_little():
+    """5,000 items that hold a pair which a text has 4,000 times: no item is aligned for it."""
+    import time
+
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    items = decontaminate.Items(list(range(5000)), [" ".join([*(word() for _ in range(15)), "of", "the", *(word() for _ in range(15))]) for _ in range(5000)])
+    text = decontaminate.words(" ".join(f"of the {word()}" for _ in range(4000)) + " " + " ".join(word() for _ in range(10)))
+    counts = np.ones(len(items.distinct), np.int64)
+    counts[np.searchsorted(items.distinct, decontaminate.grams(decontaminate.words("of the"), 2))] = 4000
+    rare = decontaminate.RareSeeds(items, counts, 0.5)
+    began = time.process_time()
+    assert decontaminate.align(text, items, rare, 0.5) == []
+    assert time.process_time() - began < 1
+    copy = np.concatenate([text, items.words[7], text])
+    assert [h[:2] for h in decontaminate.align(copy, items, rare, 0.5)] == [(7, 1.0)]
+
+
+def test_seeds_are_counted_in_all_documents(spark):
+    items = decontaminate.Items([1, 2], ["a b c d", "b c x"])
+    df = spark.createDataFrame([("a b c",), ("b c B C",), ("",), ("b q c",)], "text string").repartition(3)
+    counts = decontaminate.seed_counts(df, items)
+    of = lambda text: counts[np.searchsorted(items.distinct, decontaminate.grams(decontaminate.words(text), 2))].tolist()
+    assert of("a b") == [1] and of("b c") == [4] and of("c d") == [0]
+    rare = decontaminate.RareSeeds(items, counts, 1.0)  # of three seeds all are needed: the rarest that there is, none here
+    assert set(rare.item.tolist()) == set()
+    assert decontaminate.seed_counts(df.limit(0), items).sum() == 0
+
+
 def test_decontaminate_short_items(spark):
     bench = spark.createDataFrame([(1, "Lone"), (2, "two words"), (3, " "), (4, None)], "item_id long, text string")
     df = table(spark, [(10, "lone", None), (11, "a b lone c", None), (12, "TWO words", None), (13, "x two y words", None), (14, "words two", None), (15, "two", None), (16, "", None), (17, None, None)])
