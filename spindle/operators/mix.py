@@ -12,6 +12,9 @@ from ..sources.jsonl import joined_commit
 from ..sources.store import stored
 from . import balance
 
+#: Most keys of a sample that are sent to every task.
+BROADCAST_ROWS = 500_000
+
 STYLES = ("descriptive", "lazy")
 
 
@@ -34,6 +37,11 @@ def sample_rows(df: DataFrame, n: int, key: str, seed: int, source: str = "", cl
     return balance.sample_rows(df, n, key, seeded(seed, F.lit(source), key), source, clamp)
 
 
+def in_sample(df: DataFrame, drawn: DataFrame, n: int, *keys: str) -> DataFrame:
+    """The rows of ``df`` whose keys were drawn, ``n`` at most: broadcast up to a bound, so Spark sorts out the others at the scan."""
+    return df.join(F.broadcast(drawn) if n <= BROADCAST_ROWS else drawn, list(keys), "left_semi")
+
+
 def style_label(model: str | None, style: str) -> Column:
     return F.lit(f"{model or 'unknown'}_{style}")
 
@@ -63,14 +71,16 @@ def sample_and_mix(sources: list[DataFrame], styles: list[str], models: list[str
     """Samples each source by its share of ``total`` and joins the ``mixed`` records.
 
     Empty instructions go after sampling, so the result may be smaller than ``total``; a source given twice, once for
-    each style, may give a row twice. Each source is stored once, as its rows are counted, then drawn. The records come
-    in a random order that depends on the seed alone, unless ``shuffle`` is off.
+    each style, may give a row twice. The keys of a source, which are unique, are stored once, counted and drawn from;
+    only drawn rows are read in full. The records come in a random order that depends on the seed alone, unless
+    ``shuffle`` is off.
     """
     if not len(sources) == len(styles) == len(models) == len(ratios):
         raise ValueError("sources, styles, models and ratios must have the same length")
     names = names or [f"source{i}" for i in range(len(sources))]
     once = {id(df): df for df in sources}
-    held = {k: stored(df, "source") for k, df in once.items()}
-    parts = [as_style(sample_rows(held[id(df)], n, key, seed, name), style, model) for df, n, style, model, name in zip(sources, largest_remainder(ratios, total), styles, models, names, strict=True)]
+    held = {k: stored(df.select(key), "keys") for k, df in once.items()}
+    drawn = lambda df, n, name: in_sample(df, stored(sample_rows(held[id(df)], n, key, seed, name), "drawn"), n, key)
+    parts = [as_style(drawn(df, n, name), style, model) for df, n, style, model, name in zip(sources, largest_remainder(ratios, total), styles, models, names, strict=True)]
     mixed = reduce(DataFrame.unionByName, parts)
     return shuffled(mixed, seed, "commit", "instr_type") if shuffle else mixed

@@ -9,6 +9,7 @@ from ..functions.code_tokens import topic_tokens
 from ..operators.balance import balance_by_group
 from ..operators.extract import filter_single_line, purify, separate_sections
 from ..operators.finetune import format_records
+from ..operators.mix import in_sample
 from ..operators.stats import count_pairs, filter_by_diff, top_groups, top_pairs, verb_objects
 from ..operators.topics import TopicModel, cached_fit
 from ..sources.jsonl import FilterConfig, edit_prompt_text
@@ -25,9 +26,10 @@ def extract_triplets(responses: DataFrame, **options) -> tuple[DataFrame, DataFr
 
 
 def group_balanced(df: DataFrame, group: str, row_id: str, config: FilterConfig, old: str = "code_before_purify", new: str = "code_after_purify") -> DataFrame:
-    """The diff filter, then a sample balanced by any column."""
-    small = stored(filter_by_diff(df, old, new, config.max_modify_lines, config.max_hunk_num), "small")
-    return balance_by_group(small, group, row_id, config.max_samples_total, config.max_samples_per_topic, config.random_seed or 0)
+    """The diff filter, then a sample balanced by any column. Only ids and groups of what the filter leaves are stored."""
+    small = stored(filter_by_diff(df, old, new, config.max_modify_lines, config.max_hunk_num).select(row_id, group), "small")
+    drawn = stored(balance_by_group(small, group, row_id, config.max_samples_total, config.max_samples_per_topic, config.random_seed or 0), "drawn")
+    return in_sample(df, drawn.select(row_id), drawn.count(), row_id)
 
 
 def dt_filter(mixed: DataFrame, config: FilterConfig, row_id: str, cache: str | None = None, **options) -> DataFrame:

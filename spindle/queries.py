@@ -678,6 +678,15 @@ def jsonl_strict_ascii(spark, d):
     return jsonl.read_jsonl(spark, path, "doc_id long, text string, lang string", strict=True)
 
 
+@query("SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_id, lang FROM documents")
+def jsonl_row_positions(spark, d):
+    """Rows that are equal but for their place, in the order of several files."""
+    path = fresh_path(spark, "jsonl")
+    x = _docs(spark, d).select("doc_id", "lang").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    sinks.write_jsonl(x.drop("doc_id"), path)
+    return jsonl.read_numbered(spark, path, "lang string", strict=True)
+
+
 @query("SELECT lang, count(*) AS size, min(doc_id) AS first_row FROM documents GROUP BY lang UNION ALL SELECT source, count(*), min(doc_id) FROM documents GROUP BY source")
 def statistics_csv(spark, d):
     path = fresh_path(spark, "statistics")

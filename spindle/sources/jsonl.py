@@ -5,9 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .store import stored
+
+#: Splits of the input whose first positions are sent to every task; more are joined by a shuffle.
+MOST_SPLITS = 100_000
+
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
     """Rows of a JSON-lines file or folder; a malformed line fails the read. Blank lines are skipped; ``strict`` refuses them."""
@@ -18,6 +23,40 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False
     return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``row_id, value``: the lines of text files with their positions from 0, by path and within a file by place.
+
+    Positions don't depend on how the files are split: one pass counts the lines of each split of a file, a row a split,
+    and the lines of a split follow on those before it. So equal lines have different numbers, and their order is that of the
+    input. Nothing but the counts is shuffled.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    splits = lines.groupBy("file", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1))
+    splits = stored(splits.select("file", "block", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift")), "splits")
+    known = F.broadcast(splits) if splits.count() <= MOST_SPLITS else splits
+    return lines.join(known, ["file", "block"]).select((F.col("at") + F.col("shift")).alias("row_id"), "value")
+
+
+def read_numbered(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
+    """Rows of JSON-lines files behind ``row_id``, their position (:func:`numbered_lines`).
+
+    A malformed line fails the read with its position. Blank lines are skipped, but counted; ``strict`` refuses them.
+    """
+    lines = numbered_lines(spark, path)
+    at = F.concat(F.lit("row "), F.col("row_id").cast("string"))
+    blank = F.trim("value") == ""
+    if not strict:
+        lines = lines.filter(~blank)
+    corrupt = "__corrupt"
+    row = F.from_json("value", f"{schema}, {corrupt} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    lines = lines.withColumn("r", row)
+    wrong = F.when(blank, F.raise_error(F.concat(at, F.lit(" is blank")))).when(F.col(f"r.{corrupt}").isNotNull() | F.col("r").isNull(), F.raise_error(F.concat(at, F.lit(" is no record of the schema"))))
+    checked = F.coalesce(wrong.cast("long"), F.col("row_id")).alias("row_id")
+    names = [f.name for f in lines.schema["r"].dataType.fields if f.name != corrupt]
+    return lines.select(checked, *[F.col("r")[n].alias(n) for n in names])
+
+
 def read_polymorphic(spark: SparkSession, path: str, schema: str, fields: tuple[str, ...] = ("commit",)) -> DataFrame:
     """Like :func:`read_jsonl`; each of ``fields`` may be a string or an array and is read as an array of strings."""
     rows = spark.read.text(path).filter(F.trim("value") != "")
