@@ -9,9 +9,10 @@ from ..functions.code_tokens import topic_tokens
 from ..operators.balance import balance_by_group
 from ..operators.extract import filter_single_line, purify, separate_sections
 from ..operators.finetune import format_records
+from ..operators.hdp import HdpModel
 from ..operators.mix import in_sample
 from ..operators.stats import count_pairs, filter_by_diff, top_groups, top_pairs, verb_objects
-from ..operators.topics import TopicModel, cached_fit
+from ..operators.topics import cached_fit
 from ..sources.jsonl import FilterConfig, edit_prompt_text
 from ..sources.sinks import split_rejected
 from ..sources.store import stored
@@ -33,14 +34,18 @@ def group_balanced(df: DataFrame, group: str, row_id: str, config: FilterConfig,
 
 
 def dt_filter(mixed: DataFrame, config: FilterConfig, row_id: str, cache: str | None = None, **options) -> DataFrame:
-    """The diff filter, then a sample balanced by the topics of a model fitted on what is left."""
+    """The diff filter, then a sample balanced by the topics of a model fitted on what is left.
+
+    Ids and tokens of what the filter leaves are stored, and then topics by id; only drawn rows are read in full.
+    """
     small = filter_by_diff(mixed, max_modify_lines=config.max_modify_lines, max_hunk_num=config.max_hunk_num)
     text = edit_prompt_text(F.coalesce("code_before_purify", F.lit("")), F.coalesce("instruct_purify", F.lit("")))
-    held = stored(small.withColumn("__tokens", topic_tokens(text)), "tokens")
+    held = stored(small.select(row_id, topic_tokens(text).alias("__tokens")), "tokens")
     seed = config.random_seed or 0
-    model = cached_fit(held, cache, "__tokens", refit=config.refit, seed=seed, **options) if cache else TopicModel.fit(held, "__tokens", seed=seed, **options)
-    topics = stored(model.assign(held, "__tokens", "__topic").drop("__tokens"), "topics")
-    return topic_sample(topics, "__topic", row_id, config).drop("__topic")
+    model = cached_fit(held, cache, "__tokens", refit=config.refit, seed=seed, kind=HdpModel, **options) if cache else HdpModel.fit(held, "__tokens", seed=seed, **options)
+    topics = stored(model.assign(held, "__tokens", "__topic", row_id).select(row_id, "__topic"), "topics")
+    drawn = stored(topic_sample(topics, "__topic", row_id, config).select(row_id), "drawn")
+    return in_sample(mixed, drawn, drawn.count(), row_id)
 
 
 def topic_sample(topics: DataFrame, topic: str, row_id: str, config: FilterConfig) -> DataFrame:
@@ -51,8 +56,8 @@ def topic_sample(topics: DataFrame, topic: str, row_id: str, config: FilterConfi
 def topic_report(df: DataFrame, row_id: str, tokens: str = "tokens", **options) -> tuple[DataFrame, DataFrame]:
     """The twenty largest topics, and the words of each topic."""
     held = stored(df.select(row_id, tokens), "tokens")
-    model = TopicModel.fit(held, tokens, **options)
-    return top_groups(model.assign(held, tokens), "topic", row_id), model.describe()
+    model = HdpModel.fit(held, tokens, **options)
+    return top_groups(model.assign(held, tokens, key=row_id), "topic", row_id), model.describe()
 
 
 def verb_object_report(df: DataFrame, text: str, verbs: int = 20, objects: int = 10, drop_other: bool = True) -> DataFrame:

@@ -15,6 +15,7 @@ from .functions.diff import unified_diff
 from .functions.text import seeded, split_identifier, splitlines, word_tokens
 from .operators import balance, extract, finetune, generate, mix, seeds, stats
 from .operators.edits import line_edits
+from .operators.hdp import HdpModel
 from .operators.topics import TopicModel
 from .plans import pipelines
 from .sources import jsonl, sinks
@@ -489,6 +490,12 @@ def topic_assign_lda(spark, d):
     return TopicModel.fit(x, seed=SEED).assign(x).select("doc_id", "topic")
 
 
+@query()
+def topic_assign_hdp(spark, d):
+    x = stored(_docs(spark, d).select("doc_id", word_tokens("text").alias("tokens")), "tokens")
+    return HdpModel.fit(x, seed=SEED).assign(x, key="doc_id").select("doc_id", "topic")
+
+
 @query()
 def topic_documents(spark, d):
     x = _docs(spark, d)
