@@ -8,6 +8,7 @@ import time
 import urllib.request
 import warnings
 from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -21,7 +22,13 @@ from ..functions.text import py_strip, seeded
 from ..sources.jsonl import remaining
 
 
+#: Conversations that a task has open at once.
+IN_FLIGHT = 64
+
+
 class Client(Protocol):
+    """Answers a conversation; called by several threads at once."""
+
     def complete(self, messages: list[dict[str, str]], temperature: float, top_p: float, max_tokens: int) -> str: ...
 
 
@@ -90,13 +97,17 @@ def converse(client: Client, system: str, user: list[str], temperature: float, t
     return answers, None
 
 
-def generate(prompts: DataFrame, model: str | Callable[[], Client] = "stub", num_completion: int = 1, max_samples: int | None = None, key: str = "request_id", done: DataFrame | None = None, temperature: float = 0.8, top_p: float = 0.95, max_tokens: int = 2048, retries: int = 5, wait_s: float = 10.0, seed: int = 42) -> DataFrame:
+def generate(prompts: DataFrame, model: str | Callable[[], Client] = "stub", num_completion: int = 1, max_samples: int | None = None, key: str = "request_id", done: DataFrame | None = None, temperature: float = 0.8, top_p: float = 0.95, max_tokens: int = 2048, retries: int = 5, wait_s: float = 10.0, seed: int = 42, in_flight: int = IN_FLIGHT) -> DataFrame:
     """``num_completion`` answers to each prompt: its columns, ``sample_index`` from 1, ``response`` (one answer for each
     round) and ``error``.
 
     ``user`` is a string or an array of strings, one for each round; prompts with a blank round are skipped. Requests in
     ``done`` are left out, so a broken run goes on where it stopped and answers each request once. Columns that have the
     names of the result's are replaced.
+
+    A task has up to ``in_flight`` conversations open at once, over one client, whose ``complete`` runs in as many
+    threads; each keeps its rounds in order, and one that waits for a busy service holds up no other. The next rows are
+    taken up while the last of a batch are still open, so two batches are held at a time.
     """
     make = client_for(model)
     prompts = prompts.drop("sample_index", "response", "error")
@@ -111,9 +122,20 @@ def generate(prompts: DataFrame, model: str | Callable[[], Client] = "stub", num
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make()
-        for batch in batches:
-            got = [converse(client, s or "", list(u), temperature, top_p, max_tokens, retries, wait_s) for s, u in zip(batch["system"], batch["user"])]
-            yield batch.assign(response=[g[0] for g in got], error=[g[1] for g in got])
+
+        def answered(batch: pd.DataFrame, asked: list[Future]) -> pd.DataFrame:
+            got = [f.result() for f in asked]
+            return batch.assign(response=[g[0] for g in got], error=[g[1] for g in got])
+
+        with ThreadPoolExecutor(in_flight) as pool:
+            before = None
+            for batch in batches:
+                asked = [pool.submit(converse, client, s or "", list(u), temperature, top_p, max_tokens, retries, wait_s) for s, u in zip(batch["system"], batch["user"])]
+                if before:
+                    yield answered(*before)
+                before = batch, asked
+            if before:
+                yield answered(*before)
 
     return d.mapInPandas(run, schema)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
@@ -259,7 +260,7 @@ snips AS (SELECT i, side, doc_id, source, array_to_string(a[start + 1:start + si
 """
     + _SHOTS
     + """ SELECT x.i, x.doc_id || ',' || y.doc_id AS commit, x.source || ',' || y.source AS message, x.snippet AS snippet_1, y.snippet AS snippet_2,
-  contains(x.snippet, x.snippet) AS user_has_snippets, shot AS example
+  true AS user_has_snippets, shot AS example
 FROM snips x JOIN snips y ON x.i = y.i AND x.side = 'left' AND y.side = 'right' JOIN shots ON s = ('0x' || substr(md5('42:shot:' || x.i), 1, 8))::BIGINT % n"""
 )
 def fill_prompt(spark, d):
@@ -636,14 +637,17 @@ def generate_resume(spark, d):
 
 
 class _Flaky(generate.StubClient):
-    """Fails at the first call of every conversation and turn, then answers."""
+    """Fails at the first call of every conversation and turn of a run, then answers."""
 
-    failed: set[str] = set()
+    failed: set[tuple[str, str]] = set()
+
+    def __init__(self, run: str):
+        self.run = run
 
     def complete(self, messages, temperature=0.8, top_p=0.95, max_tokens=2048) -> str:
         said = super().complete(messages)
-        if said not in self.failed:
-            self.failed.add(said)
+        if (self.run, said) not in self.failed:
+            self.failed.add((self.run, said))
             raise TimeoutError("busy")
         return said
 
@@ -653,7 +657,7 @@ _ANSWERS = _ROUNDS + " SELECT request_id, sample_index::INT AS sample_index, r1
 
 @query(_ANSWERS)
 def generate_retry(spark, d):
-    g = generate.generate(_requests(spark, d), _Flaky, num_completion=2, retries=2, wait_s=0)
+    g = generate.generate(_requests(spark, d), partial(_Flaky, uuid.uuid4().hex), num_completion=2, retries=2, wait_s=0)
     return generate.output_fields(generate.flatten_rounds(g, 2), ["request_id", "sample_index", "response_1", "response_2"])
 
 

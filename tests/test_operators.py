@@ -392,6 +392,24 @@ def test_http_client(spark):
     assert path == "/v1/chat/completions" and key == "Bearer secret" and body["model"] == "some-model" and body["temperature"] == 0.8 and len(asked) == 3
 
 
+def test_many_conversations_are_open_at_once(spark):
+    """64 slow ones in a task take about as long as one; answers stay with their rows, and rounds in order."""
+    import time
+
+    class Slow(generate.StubClient):
+        def complete(self, messages, *a) -> str:
+            time.sleep(0.5)
+            return super().complete(messages)
+
+    prompts = spark.createDataFrame([(k, "s", [f"a{k}", f"b{k}"]) for k in range(64)], "request_id long, system string, user array<string>").coalesce(1)
+    rows = lambda **o: sorted((r.request_id, r.response) for r in generate.generate(prompts, **o).collect())
+    want = rows()
+    began = time.time()
+    assert rows(model=Slow) == want
+    assert time.time() - began < 20  # one after another: 64 s
+    assert rows(in_flight=1) == want
+
+
 def test_generation_is_saved_as_it_goes(spark, tmp_path):
     class Unlucky(generate.StubClient):
         def complete(self, messages, *a):
