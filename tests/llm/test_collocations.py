@@ -71,3 +71,11 @@ def test_scores_beyond_64_bits(spark):
     big = [(7_000_000_000, 90_000_000_000_000, 7_000_000_003, 8_000_000_001), (100, 10, 3, 7), (5, 5, 5, 5)]
     got = spark.createDataFrame(big, "a long, n long, l long, r long").select(collocations.cut_score("a", "n", "l", "r")).collect()
     assert [x[0] for x in got] == [1000 * a * n // (left * right) for a, n, left, right in big]
+
+
+def test_registered_query(spark):
+    import __spark_entry__
+
+    small = "/root/testdata/sf0.001"
+    rows = [(r.lang, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    assert sorted(tuple(x) for x in __spark_entry__.queries()["op11_phrases"](spark, small).collect()) == brute(rows, 100, 2000)

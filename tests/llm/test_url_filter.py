@@ -77,3 +77,13 @@ def test_a_hot_url_is_one_key(spark):
     assert out.filter("verdict = 'block'").count() == 20_000
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hash" not in plan
+
+
+def test_registered_query(spark):
+    import __spark_entry__
+    from spindle.llm.entries import URL_RULES
+
+    small = "/root/testdata/sf0.001"
+    urls = {r.page_id: r.url for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
+    got = {x.page_id: tuple(x)[1:] for x in __spark_entry__.queries()["op12_url_filter"](spark, small).collect()}
+    assert got == {i: brute(u, {(h, p): v for h, p, v in URL_RULES}) for i, u in urls.items()} and {v[3] for v in got.values()} == {"allow", "block"}
