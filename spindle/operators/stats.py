@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from ..functions.diff import COUNTS, diff_counts
 from ..functions.phrases import verb_object_pairs
+from ..sources.store import stored
+
+#: Terms whose numbers are sent to every task, at some 100 bytes each.
+HOT_TERMS = 8192
 
 
 def with_diff(df: DataFrame, old: str = "old_code", new: str = "new_code") -> DataFrame:
@@ -87,6 +91,36 @@ def bag_of_words(df: DataFrame, key: str, tokens: str) -> DataFrame:
     return df.select(key, F.explode(tokens).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
+def term_dictionary(bag: DataFrame, term: str = "term") -> DataFrame:
+    """``term, term_id, docs``: a number from 0 for every term of a bag, in the terms' order, and in how many rows it stands.
+
+    The terms are counted, dealt in ranges and stored in order; a part's terms follow on those of the parts before, whose
+    sizes are a row each. Nothing is collected, so the dictionary may be as large as the corpus makes it.
+    """
+    counted = bag.groupBy(term).agg(F.count(F.lit(1)).alias("docs"))
+    parts = int(bag.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = counted.repartitionByRange(parts, term).sortWithinPartitions(term)
+    ranged = stored(ranged.select(term, "docs", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")), "terms")
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = ranged.groupBy("part").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    sizes = sizes.select("part", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"))
+    return ranged.join(F.broadcast(sizes), "part").select(term, (F.col("at") + F.col("shift")).alias("term_id"), "docs")
+
+
+def with_term_ids(bag: DataFrame, dictionary: DataFrame, term: str = "term", hot: int = HOT_TERMS) -> DataFrame:
+    """The rows of a bag with ``term_id`` in the place of the term.
+
+    The ``hot`` terms that stand in most rows are sent to every task, so their rows stay where they are; those of the others,
+    none of which has more than a ``hot``-th of all, meet the dictionary by a shuffle.
+    """
+    known = stored(dictionary, "dictionary")
+    often = stored(known.orderBy(F.desc("docs"), term).limit(hot).select(F.col(term).alias("__often"), F.col("term_id").alias("__id")), "often")
+    d = bag.join(F.broadcast(often), F.col(term) == F.col("__often"), "left")
+    rest = d.filter("__id is null").drop("__often", "__id").join(known.select(term, "term_id"), term)
+    settled = d.filter("__id is not null").drop("__often").withColumnRenamed("__id", "term_id")
+    return settled.drop(term).unionByName(rest.drop(term))
+
+
 def count_pairs(df: DataFrame, verb: str = "verb", obj: str = "object") -> DataFrame:
     return df.groupBy(F.col(verb).alias("verb"), F.col(obj).alias("object")).agg(F.count(F.lit(1)).alias("count"))
 

@@ -451,6 +451,13 @@ def bag_of_words(spark, d):
     return stats.bag_of_words(_docs(spark, d).select("doc_id", word_tokens("text").alias("t")), "doc_id", "t")
 
 
+@query("WITH " + _WORDS + ", b AS (SELECT doc_id, term, count(*) AS n FROM words WHERE term <> '' GROUP BY ALL) SELECT doc_id, dense_rank() OVER (ORDER BY term) - 1 AS term_id, n FROM b")
+def bag_of_word_ids(spark, d):
+    """The bags by number: every term of the corpus has one, in the order of its bytes."""
+    bag = stored(stats.bag_of_words(_docs(spark, d).select("doc_id", word_tokens("text").alias("t")), "doc_id", "t"), "bag")
+    return stats.with_term_ids(bag, stats.term_dictionary(bag))
+
+
 @query(r"""SELECT p_partkey, array_to_string(list_filter(string_split_regex(regexp_replace(replace(p_name, ' ', '_') || 'HTTPServer_' || p_brand, '([a-z])([A-Z])', '\1 \2', 'g'), '[\s_]+'), lambda x: x <> ''), '|') AS parts FROM part""")
 def split_identifiers(spark, d):
     name = F.concat(F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("HTTPServer_"), "p_brand")

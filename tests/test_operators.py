@@ -392,6 +392,19 @@ def test_http_client(spark):
     assert path == "/v1/chat/completions" and key == "Bearer secret" and body["model"] == "some-model" and body["temperature"] == 0.8 and len(asked) == 3
 
 
+def test_term_numbers(spark):
+    """Dense, in order, in any number of parts; hot terms and others get the same numbers; null terms have none."""
+    rows = [(k, f"w{k * 7 % 40:02d}", k) for k in range(200)] + [(k, "the", 1) for k in range(50)] + [(1, None, 1)]
+    bag = spark.createDataFrame(rows, "doc_id long, term string, n long")
+    named = {r.term: r for r in stats.term_dictionary(bag.filter("term is not null")).collect()}
+    assert [named[t].term_id for t in sorted(named)] == list(range(41)) and named["the"].docs == 50
+    for hot in (1, 5, 8192):
+        got = stats.with_term_ids(bag, stats.term_dictionary(bag.filter("term is not null")), hot=hot)
+        assert got.columns == ["doc_id", "n", "term_id"]
+        assert sorted(map(tuple, got.collect())) == sorted((i, n, named[t].term_id) for i, t, n in rows if t)
+    assert stats.with_term_ids(bag.limit(0), stats.term_dictionary(bag.limit(0))).collect() == []
+
+
 def test_many_conversations_are_open_at_once(spark):
     """64 slow ones in a task take about as long as one; answers stay with their rows, and rounds in order."""
     import time
