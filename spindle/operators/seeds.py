@@ -9,6 +9,7 @@ from ..functions.diff import unified_diff
 from ..functions.text import hash_int, seeded, splitlines
 from ..sources.store import stored
 from ..sources.templates import get_prompts
+from .mix import in_sample
 
 MIN_LINES, MAX_LINES = 5, 15
 
@@ -74,15 +75,25 @@ def filled(template: str, values: dict[str, Column]) -> Column:
 
 
 def create_prompts(commits: DataFrame, oneshot: DataFrame, sample_num: int, seed: int, version: str = "v5.1", min_lines: int = MIN_LINES, max_lines: int = MAX_LINES) -> DataFrame:
-    """Exactly ``sample_num`` prompts, each from snippets of two commits and one example."""
+    """Exactly ``sample_num`` prompts, each from snippets of two commits and one example.
+
+    Only the names of the commits are ordered to draw from; the texts of the drawn ones are then read. Of rows that repeat
+    a commit's name, each may be drawn, and the text of the least message and contents is taken.
+    """
     if version != "v5.1":
         raise ValueError("only v5.1 extends snippets")
     system, rounds = get_prompts(version)
     spark = commits.sparkSession
-    good = stored(indexed(long_enough(valid_commits(commits), "old_contents", min_lines), "commit", seed), "good")
-    drawn = pairs(spark, sample_num, good.count(), seed)
-    side = lambda s: good.select(F.col("idx").alias(f"{s}_idx"), F.col("commit").alias(f"{s}_commit"), F.col("message").alias(f"{s}_message"), F.col("old_contents").alias(f"{s}_old"))
-    d = drawn.join(side("left"), "left_idx").join(side("right"), "right_idx")
+    good = long_enough(valid_commits(commits), "old_contents", min_lines)
+    ids = stored(indexed(good.select("commit"), "commit", seed), "ids")
+    drawn = pairs(spark, sample_num, ids.count(), seed)
+    name = lambda s: ids.select(F.col("idx").alias(f"{s}_idx"), F.col("commit").alias(f"{s}_commit"))
+    drawn = stored(drawn.join(name("left"), "left_idx").join(name("right"), "right_idx"), "drawn")
+    wanted = drawn.select(F.explode(F.array("left_commit", "right_commit")).alias("commit")).distinct()
+    texts = in_sample(good.select("commit", "message", "old_contents"), wanted, 2 * sample_num, "commit")
+    texts = stored(texts.groupBy("commit").agg(F.min(F.struct("message", "old_contents")).alias("t")), "texts")
+    side = lambda s: texts.select(F.col("commit").alias(f"{s}_commit"), F.col("t.message").alias(f"{s}_message"), F.col("t.old_contents").alias(f"{s}_old"))
+    d = drawn.join(side("left"), "left_commit").join(side("right"), "right_commit")
     cut = lambda s: snippet(splitlines(f"{s}_old"), seeded(seed, F.lit(s), "i"), min_lines, max_lines)
     d = d.withColumn("__one", cut("left")).withColumn("__two", cut("right"))
     d = assign_oneshot(d, oneshot, "i", "code_before", seed)
