@@ -18,7 +18,7 @@ from .common import maybe_broadcast, slices, written
 from .hashing import U, grams, mixed, prefix_sums, ranges
 
 #: Bytes of text that a worker counts at a time. A longer text is counted in parts that overlap by the words of a phrase.
-CHUNK = 16 << 20
+CHUNK = 4 << 20
 #: Bits of the table of frequent phrases for each of them, and the most that are ever broadcast (32 MB).
 BITS_EACH, MOST_BITS = 64, 1 << 28
 #: Bits in one value of Spark's bitmap aggregate.
