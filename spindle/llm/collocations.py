@@ -66,18 +66,26 @@ class _Chunk:
         salt = np.array([int.from_bytes(hashlib.blake2b(x.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for x in names], U)
         return mixed(ranges(prefix_sums(data), at[:-1], at[1:]) ^ salt[lang]) if len(words) else np.zeros(0, U)
 
-    def counts(self, k: int, frequent: np.ndarray | None) -> pa.RecordBatch:
-        """``lang, phrase, h, f`` of the phrases of k words that end behind the first ``skip`` words and, beyond one word,
-        have both their parts of k - 1 words in the bit table ``frequent``."""
-        n = len(self.ids) - k + 1
-        at = np.arange(max(self.skip - k + 1, 0), max(n, 0))
-        if k > 1:
-            at = at[self.piece[at] == self.piece[at + k - 1]]
-            parts = grams(self.hashes, k - 1)
-            at = at[_has(frequent, parts[at])]
-            at = at[_has(frequent, parts[at + 1])]
-        codes, size = self.ids[at], max(len(self.words), 1)
-        most = size
+    def _within(self, k: int) -> np.ndarray:
+        """Where phrases of k words begin that end behind the first ``skip`` words."""
+        at = np.arange(max(self.skip - k + 1, 0), max(len(self.ids) - k + 1, 0))
+        return at[self.piece[at] == self.piece[at + k - 1]]
+
+    def hashed(self, k: int, frequent: np.ndarray) -> pa.RecordBatch:
+        """Counts of the phrases of k words, by hash alone, that have both their parts of k - 1 words in the bit table."""
+        at, parts = self._within(k), grams(self.hashes, k - 1)
+        at = at[_has(frequent, parts[at])]
+        at = at[_has(frequent, parts[at + 1])]
+        codes, distinct = pd.factorize(grams(self.hashes, k)[at])
+        none = pa.nulls(len(distinct), pa.string())
+        return pa.RecordBatch.from_arrays([none, none, pa.array(distinct.view(np.int64)), pa.array(np.bincount(codes, minlength=len(distinct)))], ["lang", "phrase", "h", "f"])
+
+    def named(self, k: int, frequent: np.ndarray | None) -> pa.RecordBatch:
+        """``lang, phrase, h, f`` of the phrases of k words, all of them or those whose hash is in the bit table."""
+        at, size = self._within(k), max(len(self.words), 1)
+        if frequent is not None:
+            at = at[_has(frequent, grams(self.hashes, k)[at])]
+        codes, most = self.ids[at], size
         for j in range(1, k):
             if most > (1 << 62) // size:
                 codes, distinct = pd.factorize(codes)
@@ -86,12 +94,11 @@ class _Chunk:
         codes, distinct = pd.factorize(codes)
         first = np.zeros(len(distinct), np.int64)
         first[codes[::-1]] = at[::-1]
-        f = np.bincount(codes, minlength=len(distinct))
         of = lambda j: pa.array(self.ids[first + j])
         said = [self.words.take(of(j)) for j in range(k)]
         phrase = pc.binary_join_element_wise(*said, " ") if k > 1 else said[0]
         h = grams(self.hashes, k)[first].view(np.int64)
-        return pa.RecordBatch.from_arrays([self.langs.take(of(0)), phrase, pa.array(h), pa.array(f)], ["lang", "phrase", "h", "f"])
+        return pa.RecordBatch.from_arrays([self.langs.take(of(0)), phrase, pa.array(h), pa.array(np.bincount(codes, minlength=len(distinct)))], ["lang", "phrase", "h", "f"])
 
 
 def _places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,17 +111,17 @@ def _has(table: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bit(one) & bit(two)).astype(bool)
 
 
-def _bit_table(level: DataFrame) -> np.ndarray:
-    """The frequent phrases of a level as bits at two places of each hash.
+def _bit_table(hashes: DataFrame) -> np.ndarray:
+    """The hashes of the frequent phrases of a level as bits at two places each.
 
     Built by Spark's bitmap aggregate. Its size follows their number up to MOST_BITS: with more phrases than that serves,
     more of the next level pass in error, are counted, and fall below the least frequency; the result is the same.
     """
-    n = level.filter("phrase is not null").count()
+    n = hashes.count()
     bits = _BUCKET
     while bits < min(BITS_EACH * n, MOST_BITS):
         bits *= 2
-    places = level.filter("phrase is not null").select(F.explode(F.array(F.col("h").bitwiseAND(bits - 1), F.shiftrightunsigned("h", 32).bitwiseAND(bits - 1))).alias("p"))
+    places = hashes.select(F.explode(F.array(F.col("h").bitwiseAND(bits - 1), F.shiftrightunsigned("h", 32).bitwiseAND(bits - 1))).alias("p"))
     rows = places.groupBy(F.expr("p div 32768").alias("b")).agg(F.bitmap_construct_agg(F.col("p") % _BUCKET).alias("bits"))
     out = np.zeros(bits // 8, np.uint8)
     for r in rows.collect():  # at most bits / _BUCKET rows of 4 KB
@@ -156,22 +163,24 @@ def _parts(data: bytes, lang: str, longest: int, size: int) -> Iterator[_Chunk]:
         begin = begin + int(open_[0]) if skip else end
 
 
-def _level(d: DataFrame, k: int, least: int, longest: int, frequent: np.ndarray | None, chunk: int) -> DataFrame:
-    """``lang, phrase, h, f``: phrases of k words with f at least ``least``; for k = 1 also the words of each language, without
-    a phrase."""
+def _pass(d: DataFrame, name: int, hash_: int, least: int, longest: int, frequent: np.ndarray | None, chunk: int) -> DataFrame:
+    """``lang, phrase, h, f``, f at least ``least``, of one pass over the texts: phrases of ``name`` words, those of one word
+    with the words of each language, which have no phrase; and hashes of phrases of ``hash_`` words, without a language.
+    """
     sent = d.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in _chunks(batches, longest, chunk):
-            found = c.counts(k, sent.value)
-            for at in range(0, found.num_rows, 1 << 16):
-                yield found.slice(at, 1 << 16)
-            if k == 1:
-                totals = pa.table(found).group_by("lang").aggregate([("f", "sum")])
-                yield pa.RecordBatch.from_arrays([totals["lang"].combine_chunks(), pa.nulls(len(totals), pa.string()), pa.array(np.zeros(len(totals), np.int64)), totals["f_sum"].combine_chunks()], ["lang", "phrase", "h", "f"])
+            for found in ([c.named(name, sent.value)] if name else []) + ([c.hashed(hash_, sent.value)] if hash_ else []):
+                for at in range(0, found.num_rows, 1 << 16):
+                    yield found.slice(at, 1 << 16)
+                if name == 1:
+                    totals = pa.table(found).group_by("lang").aggregate([("f", "sum")])
+                    yield pa.RecordBatch.from_arrays([totals["lang"].combine_chunks(), pa.nulls(len(totals), pa.string()), pa.array(np.zeros(len(totals), np.int64)), totals["f_sum"].combine_chunks()], ["lang", "phrase", "h", "f"])
 
-    counted = d.mapInArrow(run, "lang string, phrase string, h long, f long").groupBy("lang", "phrase").agg(F.max("h").alias("h"), F.sum("f").alias("f"))
-    return written(counted.filter(F.col("phrase").isNull() | (F.col("f") >= least)), f"phrases{k}")
+    counted = d.mapInArrow(run, "lang string, phrase string, h long, f long").groupBy("lang", "phrase", "h").agg(F.sum("f").alias("f"))
+    total = F.col("phrase").isNull() & F.col("lang").isNotNull()
+    return written(counted.filter(total | (F.col("f") >= least)), f"phrases{name}")
 
 
 def cut_score(a: str | Column, n: str | Column, left: str | Column, right: str | Column) -> Column:
@@ -191,10 +200,11 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least:
     A candidate that stands inside a longer one with 100 * f >= percent * a goes. The rest are ranked by score and ``a``,
     the highest first, then by phrase in byte order.
 
-    One pass over the texts for each length. A pass counts a phrase of k words only where both its parts of k - 1 words
-    are frequent, by a bit table of bounded size that is broadcast; words and phrases are told apart exactly, by
-    dictionary numbers within a chunk of text and by their strings between chunks, so hashes decide nothing but what is
-    counted in vain. Counts are combined per chunk, per task and then by phrase, so a frequent phrase is a row a task. Cuts
+    A pass over the texts for each length, and one more. A phrase of k words is counted only where both its parts of k - 1
+    words are frequent, by a bit table of bounded size that is broadcast. Its hash is counted first, which moves little;
+    the next pass counts those whose hash is frequent, with their words. These are told apart exactly, by dictionary
+    numbers within a chunk of text and by their strings between chunks, so hashes decide nothing but what is counted in
+    vain. Counts are combined per chunk, per task and then by phrase, so a frequent phrase is a row a task. Cuts
     are scored by joins with the tables of the levels, in decimals. As counts fall with length, a candidate that stands
     inside any longer one that makes it go also stands inside one of a word more that does, so only those are looked at.
     Ranks are taken within salted parts of a language first.
@@ -203,13 +213,18 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least:
     often as they are there; an empty table gives no rows; other columns are not read.
     """
     d = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    levels = [_level(d, 1, least, longest, None, chunk)]
+    passes = [_pass(d, 1, 0, least, longest, None, chunk)]
+    frequent = _bit_table(passes[0].filter("phrase is not null"))
     for k in range(2, longest + 1):
-        levels.append(_level(d, k, least, longest, _bit_table(levels[-1]), chunk))
+        passes.append(_pass(d, k - 1 if k > 2 else 0, k, least, longest, frequent, chunk))
+        frequent = _bit_table(passes[-1].filter("lang is null"))
+    if longest > 1:
+        passes.append(_pass(d, longest, 0, least, longest, frequent, chunk))
+    levels = [passes[0], *passes[2:]]
     totals = levels[0].filter("phrase is null").select("lang", F.col("f").alias("n"))
     known = reduce(DataFrame.union, levels).filter("phrase is not null").select("lang", "phrase", "f")
     rows = known.count()
-    found = [x.select("lang", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("words"), F.lit(k).alias("size")) for k, x in enumerate(levels[1:], 2)]
+    found = [x.filter("phrase is not null").select("lang", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("words"), F.lit(k).alias("size")) for k, x in enumerate(levels[1:], 2)]
     cands = reduce(DataFrame.union, found) if found else levels[0].limit(0).select("lang", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("words"), F.lit(1).alias("size"))
 
     part = lambda start, size: F.array_join(F.slice("words", start, size), " ")
