@@ -104,9 +104,9 @@ class WaveletMatrix:
         for level in range(width - 1, -1, -1):
             bit = (a & a.dtype.type(1 << level)) != 0
             planes.append(_Plane.of(bit))
-            low = a[~bit]
+            low = np.compress(~bit, a)
             zeros.append(len(low))
-            a = np.concatenate([low, a[bit]])
+            a = np.concatenate([low, np.compress(bit, a)])
         return cls(len(ids), planes, zeros)
 
     def decode(self) -> np.ndarray:
@@ -116,8 +116,8 @@ class WaveletMatrix:
             bit = self.planes[level].bits(self.n)
             up = np.empty_like(a)
             z = self.zeros[level]
-            up[~bit] = a[:z]
-            up[bit] = a[z:] | a.dtype.type(1 << (len(self.planes) - 1 - level))
+            up[np.flatnonzero(~bit)] = a[:z]
+            up[np.flatnonzero(bit)] = a[z:] | a.dtype.type(1 << (len(self.planes) - 1 - level))
             a = up
         return a
 
