@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import cache
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column
@@ -39,17 +41,48 @@ ENGLISH_STOP_WORDS = [
 ]
 
 
+#: Where a camelCase or snake_case name is parted, and what a run of plain text consists of.
+_PARTS, _PLAIN = re.compile(r"(?<=[a-z])(?=[A-Z])|_"), re.compile(r"[0-9a-zß-öø-ÿ]+|[^\s0-9a-zß-öø-ÿ]")
+
+
+@cache
+def _lexer() -> tuple[Any, Any]:
+    """Pygments' lexer of Python, which takes runs of plain text as one token, and the kind of that token.
+
+    Its rules are tried in turn at each token, and that of names is the last of some fifty. In a run are words that no rule
+    names, which are names wherever they stand outside of strings, unless a quote follows; blanks that begin no line, where
+    docstrings and soft keywords are looked for; and marks that begin no longer token. All else goes by the rules.
+    """
+    from pygments.lexer import inherit, words
+    from pygments.lexers.python import PythonLexer
+    from pygments.regexopt import regex_opt
+    from pygments.token import Token
+
+    named = {"in", "is", "and", "or", "not", "self", "Ellipsis", "NotImplemented", "cls", "match", "case", "lazy", "from", "import", "def", "class"}
+    for state in ("keywords", "expr-keywords", "builtins", "magicfuncs", "magicvars"):
+        named.update(w.split()[0] for rule in PythonLexer.tokens[state] if isinstance(rule[0], words) for w in rule[0].words)
+    word = regex_opt(named, prefix="(?!", suffix=r"\b)") + r"[A-Za-zÀ-ÖØ-öø-ÿ][0-9A-Za-z_À-ÖØ-öø-ÿ]*(?=[\x00-!#-&(-/:-@\[-^`{-\x7f]|\Z)"
+    run = rf"(?:{word}|\n|(?!^)[^\S\n]+|[,;(){{}}\[\]*/+-]|:(?!=)|\.(?!\d))+"
+
+    class Plain(PythonLexer):
+        tokens = {"root": [(run, Token.Plain), inherit]}
+
+    return Plain(stripall=True), Token.Plain
+
+
 def code_token_list(code: str) -> list[str]:
     """Lower-case tokens; plain, function and variable names in their camelCase and snake_case parts."""
-    from pygments.lexers.python import PythonLexer
     from pygments.token import Name
 
+    lexer, plain = _lexer()
     out: list[str] = []
-    for kind, value in PythonLexer(stripall=True).get_tokens(code):
+    for kind, value in lexer.get_tokens(code):
+        if kind is plain:
+            out += _PLAIN.findall(_PARTS.sub(" ", value).lower())
+            continue
         value = value.strip()
         if kind in (Name, Name.Function, Name.Variable):
-            value = re.sub(r"(?<=[a-z])(?=[A-Z])|_", " ", value)
-            out += value.lower().split()
+            out += _PARTS.sub(" ", value).lower().split()
         elif value:
             out.append(value.lower())
     return out
