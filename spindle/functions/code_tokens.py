@@ -6,11 +6,12 @@ import re
 from functools import cache
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .pieces import by_pieces
 from .text import is_alpha, is_identifier, py_strip, word_tokens
 
 # Tokens of code that say nothing of its topic.
@@ -88,9 +89,9 @@ def code_token_list(code: str) -> list[str]:
     return out
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _code_tokens(code: pd.Series) -> pd.Series:
-    return code.map(lambda c: code_token_list(c or ""))
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _code_tokens(code: pa.Array) -> pa.Array:
+    return by_pieces(pa.list_(pa.string()), code_token_list, code)
 
 
 def code_tokens(c: Column | str) -> Column:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import difflib
 from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import DIFF
+from .pieces import by_pieces
 
 CONTEXT = 3
 COUNTS = [f.split()[0] for f in DIFF.split(", ")]
@@ -35,14 +36,14 @@ def diff_counts(old: str, new: str, context: int = CONTEXT) -> tuple[int, int, i
     return tally["insert"], tally["delete"], tally["replace"], hunks, hunks
 
 
-@F.pandas_udf(T.StructType([T.StructField(n, T.IntegerType()) for n in COUNTS]))
-def _line_diff(old: pd.Series, new: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([diff_counts(a or "", b or "") for a, b in zip(old, new)], columns=COUNTS)
+@F.arrow_udf(T.StructType([T.StructField(n, T.IntegerType()) for n in COUNTS]))
+def _line_diff(old: pa.Array, new: pa.Array) -> pa.Array:
+    return by_pieces(pa.struct([(n, pa.int32()) for n in COUNTS]), lambda a, b: dict(zip(COUNTS, diff_counts(a, b))), old, new)
 
 
-@F.pandas_udf(T.StringType())
-def _unified(old: pd.Series, new: pd.Series) -> pd.Series:
-    return pd.Series(["\n".join(difflib.unified_diff((a or "").splitlines(), (b or "").splitlines(), lineterm="")) for a, b in zip(old, new)], dtype=object)
+@F.arrow_udf(T.StringType())
+def _unified(old: pa.Array, new: pa.Array) -> pa.Array:
+    return by_pieces(pa.string(), lambda a, b: "\n".join(difflib.unified_diff(a.splitlines(), b.splitlines(), lineterm="")), old, new)
 
 
 def line_diff(old: Column | str, new: Column | str) -> Column:

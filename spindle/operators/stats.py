@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.diff import COUNTS, diff_counts
 from ..functions.phrases import verb_object_pairs
+from ..functions.pieces import pieces
 from ..sources.store import stored
 
 #: Terms whose numbers are sent to every task, at some 100 bytes each.
@@ -20,17 +20,19 @@ HOT_TERMS = 8192
 def with_diff(df: DataFrame, old: str = "old_code", new: str = "new_code") -> DataFrame:
     """Adds the five diff counts and ``changed``, their sum over lines. Null texts are empty.
 
-    Whole Arrow batches go through, so the other columns aren't converted; on a stream it is the same. Columns that have
-    the names of the counts are replaced.
+    Arrow batches go through in pieces, so the other columns aren't converted, and Python holds a few texts at a time; on a
+    stream it is the same. Columns that have the names of the counts are replaced.
     """
     df = df.drop(*COUNTS, "changed")
     kinds = df.select("*", *[F.lit(None).cast("int").alias(c) for c in COUNTS]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (old, new))
-            counts = list(zip(*(diff_counts(a or "", b or "") for a, b in zip(*sides)))) or [()] * len(COUNTS)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int32()) for c in counts)], [*batch.schema.names, *COUNTS])
+            sides = [batch.column(batch.schema.get_field_index(c)) for c in (old, new)]
+            for start, n in pieces(*sides):
+                some = zip(*(x.slice(start, n).to_pylist() for x in sides))
+                counts = zip(*(diff_counts(a or "", b or "") for a, b in some))
+                yield pa.RecordBatch.from_arrays([*batch.slice(start, n).columns, *(pa.array(c, pa.int32()) for c in counts)], [*batch.schema.names, *COUNTS])
 
     d = df.mapInArrow(run, kinds)
     return d.withColumn("changed", F.col("added") + F.col("removed") + F.col("modified"))
@@ -138,11 +140,13 @@ def top_pairs(counts: DataFrame, verbs: int = 20, objects: int = 10, drop_other:
 def verb_objects(df: DataFrame, text: str, extractor: Callable[[str], list[tuple[str, str]]] = verb_object_pairs) -> DataFrame:
     """``verb, object`` rows of each text, by any extractor."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame([p for t in batch[text] for p in extractor(t or "")], columns=["verb", "object"])
+            for start, n in pieces(batch.column(0)):
+                found = [p for t in batch.column(0).slice(start, n).to_pylist() for p in extractor(t or "")]
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.string()) for k in range(2)], ["verb", "object"])
 
-    return df.select(text).mapInPandas(run, "verb string, object string")
+    return df.select(text).mapInArrow(run, "verb string, object string")
 
 
 def pass_at_1(df: DataFrame, problem: str, passed: str) -> DataFrame:

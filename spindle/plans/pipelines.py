@@ -61,4 +61,5 @@ def topic_report(df: DataFrame, row_id: str, tokens: str = "tokens", **options)
 
 
 def verb_object_report(df: DataFrame, text: str, verbs: int = 20, objects: int = 10, drop_other: bool = True) -> DataFrame:
-    return top_pairs(count_pairs(verb_objects(df, text)), verbs, objects, drop_other)
+    counts = stored(count_pairs(verb_objects(df, text)), "pairs")  # read twice
+    return top_pairs(counts, verbs, objects, drop_other)
