@@ -38,7 +38,8 @@ def sample_rows(df: DataFrame, n: int, key: str, seed: int, source: str = "", cl
 
 
 def in_sample(df: DataFrame, drawn: DataFrame, n: int, *keys: str) -> DataFrame:
-    """The rows of ``df`` whose keys were drawn, ``n`` at most: broadcast up to a bound, so Spark sorts out the others at the scan."""
+    """The rows of ``df`` whose keys were drawn, ``n`` at most: broadcast up to a bound. Spark sorts out the others at the scan,
+    unless a generator or an aggregate lies between."""
     return df.join(F.broadcast(drawn) if n <= BROADCAST_ROWS else drawn, list(keys), "left_semi")
 
 
@@ -80,7 +81,14 @@ def sample_and_mix(sources: list[DataFrame], styles: list[str], models: list[str
     names = names or [f"source{i}" for i in range(len(sources))]
     once = {id(df): df for df in sources}
     held = {k: stored(df.select(key), "keys") for k, df in once.items()}
-    drawn = lambda df, n, name: in_sample(df, stored(sample_rows(held[id(df)], n, key, seed, name), "drawn"), n, key)
+
+    def drawn(df: DataFrame, n: int, name: str) -> DataFrame:
+        keys = stored(sample_rows(held[id(df)], n, key, seed, name), "drawn")
+        # The drawn rows are those of the least ranks. Unlike the join, this filter of the key passes the generators of a
+        # source, so Spark makes no other row.
+        rank = seeded(seed, F.lit(name), key)
+        return in_sample(df.filter(rank <= F.lit(keys.agg(F.max(rank)).first()[0])), keys, n, key)
+
     parts = [as_style(drawn(df, n, name), style, model) for df, n, style, model, name in zip(sources, largest_remainder(ratios, total), styles, models, names, strict=True)]
     mixed = reduce(DataFrame.unionByName, parts)
     return shuffled(mixed, seed, "commit", "instr_type") if shuffle else mixed
