@@ -12,6 +12,8 @@ import numpy as np
 REMEMBERED, LONGEST = 40 << 20, 64
 #: Bytes of a dictionary's entry besides its text and ids.
 _ENTRY = 190
+#: Bytes that note which pieces came once, a byte for each hash; they are part of those for remembered pieces.
+_ONCE = 1 << 22
 
 # What counts as white space somewhere, but for the space and the line end.
 _OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
@@ -36,16 +38,29 @@ def _unsafe(text: str) -> bool:
 
 
 class _Room:
-    """What is left of the bytes for remembered pieces."""
+    """What is left of the bytes for remembered pieces: one half is for all that come, the other for those that come again,
+    as half of the distinct words of a corpus never do."""
 
-    left = REMEMBERED
+    left, once = REMEMBERED - _ONCE, bytearray(_ONCE)
+
+    @classmethod
+    def clear(cls) -> None:
+        cls.left, cls.once = REMEMBERED - _ONCE, bytearray(_ONCE)
 
     @classmethod
     def take(cls, piece: str, ids: bytes) -> bool:
+        left = cls.left
+        if left < _ENTRY or len(piece) > LONGEST:
+            return False
         need = _ENTRY + len(piece) + len(ids)
-        if len(piece) > LONGEST or need > cls.left:
+        if need > left:
             return False
-        cls.left -= need
+        if left < REMEMBERED >> 1:
+            at = hash(piece) % _ONCE
+            if not cls.once[at]:
+                cls.once[at] = 1
+                return False
+        cls.left = left - need
         return True
 
 
@@ -54,11 +69,13 @@ class _Pieces(dict):
 
     def __init__(self, encoder: Encoder, lead: str):
         super().__init__()
-        self.encoder, self.lead, self.start = encoder, lead, lead.translate(encoder.letters)
+        self.encoder, self.tokenize, self.lead, self.start = encoder, encoder.tokenize, lead, lead.translate(encoder.letters)
 
     def __missing__(self, piece: str) -> bytes:
         e = self.encoder
-        if m := _LETTERS.fullmatch(piece):
+        if piece.isascii() and piece.isalpha():
+            ids = array("I", [t.id for t in self.tokenize(self.start + piece)]).tobytes()
+        elif m := _LETTERS.fullmatch(piece):
             word, marks = m.groups()
             ids = (self[word] if marks in e.common else e.token(self.start, word)) + e.marks[marks] if marks else e.token(self.start, word)
         else:
@@ -148,7 +165,7 @@ class Encoder:
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """One per worker; that of another file takes its place."""
-    _Room.left = REMEMBERED
+    _Room.clear()
     return Encoder(path)
 
 
