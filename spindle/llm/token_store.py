@@ -214,27 +214,26 @@ def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeat are documents of their own. An empty table has no shards; extra columns are not read.
     """
     path = tokenizer or tokenizer_path()
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], np.uint32)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, names, held, size = TaskContext.get().partitionId(), 0, [], [], 0
 
         def shard() -> pa.RecordBatch:
-            lengths = np.array([len(b) // 4 for b in held], np.int64)
-            ids = np.frombuffer(b"".join(held), "<u4")
+            lengths = np.array([len(x) + 1 for x in held], np.int64)
+            ids = np.concatenate([x for own in held for x in (own, end)])
             blob = pack(pa.array(names, pa.int64()), lengths, ids)
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "n_docs": [len(held)], "n_ids": [len(ids)], "blob": [blob]})
 
         encoded = encoder(path)
         for batch in slices(batches):
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoded(text.as_py())
-                if held and size + len(ids) // 4 >= shard_ids:
+            for i, ids in zip(batch.column(0).to_pylist(), encoded.many(batch.column(1))):
+                if held and size + len(ids) >= shard_ids:
                     yield shard()
                     seq, names, held, size = seq + 1, [], [], 0
                 names.append(i)
-                held.append(ids + end)
-                size += len(ids) // 4 + 1
+                held.append(ids)
+                size += len(ids) + 1
         if held:
             yield shard()
 
